@@ -7,56 +7,62 @@ from pyspark.sql import functions as F
 
 from boletim.functions.exact import null_safe
 
-# Slices per unit of value. A group has at most this many times its value range.
+# Slices per unit of value: at most 10,000 times the range of grades per group.
 SLICES_PER_UNIT = 10_000
 
 
-def rank_and_mean(
-    df: DataFrame, keys: list[str], value: str, rank: str, group_mean: str
+def with_rank(
+    df: DataFrame, keys: list[str], value: str, rank: str, group_mean: str | None = None
 ) -> DataFrame:
-    """Add ``RANK() OVER (PARTITION BY keys ORDER BY value DESC)`` and the group's mean value.
+    """Add ``RANK() OVER (PARTITION BY keys ORDER BY value DESC)``, NULL first.
 
-    NULL ranks first. A group may hold a large share of all rows and of equal values, so:
-    equal values are counted into one row; those rows are ranked within narrow value slices,
-    spread over tasks; and the rows in higher slices are added from a per-slice total, of which
-    a group has a bounded number. ``value`` is a mean of grades, ``decimal(22,19)``.
+    ``group_mean`` names a column for the mean of ``value`` in the group. ``value`` is a mean of
+    grades, ``decimal(22,19)``; ``keys`` may be empty.
+
+    A group may hold most of the rows, and most rows the same value. So equal values are first
+    counted into one row; those rows are ordered within narrow value slices, spread over tasks;
+    and the rows in higher slices are added from per-slice totals, of which a group has a bounded
+    number.
     """
-    slice_ = F.coalesce(
-        -F.floor(F.col(value) * SLICES_PER_UNIT).cast("bigint"), F.lit(-(2**62))
-    )
+    slice_ = F.coalesce(-F.floor(F.col(value) * SLICES_PER_UNIT).cast("bigint"), F.lit(-(2**62)))
     values = (
         df.groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_slice", slice_)
     )
-    weight = F.when(F.col(value).isNotNull(), F.col("_rows")).cast("decimal(15,0)")
+    slices = _above_slice(values, keys, value, group_mean)
+    higher = Window.partitionBy(*keys, "_slice").orderBy(F.desc_nulls_first(value))
+    higher = higher.rowsBetween(Window.unboundedPreceding, -1)
+    within = values.withColumn("_before", F.coalesce(F.sum("_rows").over(higher), F.lit(0)))
+    extra = [group_mean] if group_mean else []
+    ranks = within.join(slices, null_safe(within, slices, [*keys, "_slice"])).select(
+        *[within[k] for k in [*keys, value]],
+        (F.lit(1) + F.col("_before") + F.col("_above")).alias(rank),
+        *extra,
+    )
+    joined = df.alias("row").join(ranks, null_safe(df, ranks, [*keys, value]))
+    return joined.select("row.*", rank, *extra)
+
+
+def _above_slice(
+    values: DataFrame, keys: list[str], value: str, group_mean: str | None
+) -> DataFrame:
+    """Per slice: rows of the group in higher slices, and the group's mean."""
+    # 22 + 15 digits and one more: the product keeps all 19 decimals of the value.
+    counted = F.when(F.col(value).isNotNull(), F.col("_rows")).cast("decimal(15,0)")
     slices = values.groupBy(*keys, "_slice").agg(
         F.sum("_rows").alias("_slice_rows"),
-        F.sum(F.col(value) * weight).alias("_total"),
-        F.sum(weight).alias("_count"),
+        F.sum(F.col(value) * counted).alias("_total"),
+        F.sum(counted).alias("_counted"),
     )
-    whole = Window.partitionBy(*keys)
-    higher = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.select(
+    group = Window.partitionBy(*keys)
+    higher = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    columns = [
         *keys,
         "_slice",
         F.coalesce(F.sum("_slice_rows").over(higher), F.lit(0)).alias("_above"),
-        F.try_divide(
-            F.sum("_total").over(whole), F.sum("_count").over(whole).cast("decimal(15,0)")
-        ).alias(group_mean),
-    )
-    within = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy(F.desc_nulls_first(value))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = values.withColumn("_before", F.coalesce(F.sum("_rows").over(within), F.lit(0)))
-    ranks = before.join(slices, null_safe(before, slices, [*keys, "_slice"])).select(
-        *[before[k].alias(f"_{k}") for k in [*keys, value]],
-        (F.lit(1) + F.col("_before") + F.col("_above")).alias(rank),
-        group_mean,
-    )
-    match = F.lit(True)
-    for k in [*keys, value]:
-        match = match & df[k].eqNullSafe(ranks[f"_{k}"])
-    return df.join(ranks, match).drop(*[f"_{k}" for k in [*keys, value]])
+    ]
+    if group_mean:
+        size = F.sum("_counted").over(group).cast("decimal(15,0)")
+        columns.append(F.try_divide(F.sum("_total").over(group), size).alias(group_mean))
+    return slices.select(*columns)

@@ -63,6 +63,14 @@ def _distinct_schools(w: Warehouse, keys: list[str]) -> DataFrame:
     return rows.select(*keys, F.col("escola_id").isNotNull().cast("bigint").alias("escolas"))
 
 
+def entity_counts() -> list:
+    """Aggregates that finish the ``escolas`` and ``alunos`` of a union."""
+    return [
+        F.coalesce(F.sum("escolas"), F.lit(0)).alias("total_escolas"),
+        F.coalesce(F.sum("alunos"), F.lit(0)).alias("total_alunos"),
+    ]
+
+
 def group_moments(w: Warehouse, keys: list[str]) -> DataFrame:
     """Per ``keys``: ``total_escolas``, ``total_alunos`` (both distinct) and grade moments.
 
@@ -76,14 +84,7 @@ def group_moments(w: Warehouse, keys: list[str]) -> DataFrame:
     rows = schools.unionByName(
         students.select(*keys, "alunos", "peso", *MOMENTS), allowMissingColumns=True
     )
-    return rows.groupBy(*keys).agg(*_entity_counts(), *combine_moments("peso"))
-
-
-def _entity_counts() -> list:
-    return [
-        F.coalesce(F.sum("escolas"), F.lit(0)).alias("total_escolas"),
-        F.coalesce(F.sum("alunos"), F.lit(0)).alias("total_alunos"),
-    ]
+    return rows.groupBy(*keys).agg(*entity_counts(), *combine_moments("peso"))
 
 
 def placed_grades(w: Warehouse, keys: list[str]) -> DataFrame:
@@ -102,13 +103,11 @@ def group_distribution(w: Warehouse, keys: list[str]) -> DataFrame:
     Rows hold ``escolas``, ``alunos`` or (``nota``, ``peso``); aggregate them by ``keys``.
     """
     schools = _distinct_schools(w, keys)
-    students = students_per(w, keys).groupBy(*keys).agg(F.count("id").alias("alunos"))
+    # Counting by peso keeps this branch on the same columns as the join, so the exchange of
+    # students is computed once and used by both.
+    placed = F.when(F.col("peso") > 0, F.col("id"))
+    students = students_per(w, keys).groupBy(*keys).agg(F.count(placed).alias("alunos"))
     grades = placed_grades(w, keys).groupBy(*keys, "nota").agg(F.sum("peso").alias("peso"))
     return schools.unionByName(students, allowMissingColumns=True).unionByName(
         grades, allowMissingColumns=True
     )
-
-
-def entity_counts() -> list:
-    """Aggregates that finish :func:`group_distribution`'s ``escolas`` and ``alunos``."""
-    return _entity_counts()

@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boletim.functions.exact import (
     descriptive,
     mean,
     moments,
-    null_safe,
     percentile_cont,
     round2,
     round2_double,
 )
 from boletim.operators.distribution import distinct_students, value_counts
-from boletim.operators.ranking import rank_and_mean
+from boletim.operators.ranking import with_rank
 from boletim.operators.students import (
     entity_counts,
     group_distribution,
@@ -77,7 +76,7 @@ def media_por_regiao(w: Warehouse) -> DataFrame:
 def ranking_escolas_regiao(w: Warehouse) -> DataFrame:
     """Rank of each school's mean in its region, beside the mean of the school means."""
     schools = school_moments(w).select("escola_id", "nome", "rede", "regiao", mean().alias("media"))
-    ranked = rank_and_mean(schools, ["regiao"], "media", "ranking_na_regiao", "media_da_regiao")
+    ranked = with_rank(schools, ["regiao"], "media", "ranking_na_regiao", "media_da_regiao")
     return (
         ranked.orderBy(
             F.asc_nulls_last("regiao"), F.asc_nulls_last("ranking_na_regiao"), "escola_id"
@@ -143,16 +142,25 @@ def _subject_moments(w: Warehouse, *more) -> DataFrame:
 
 
 def estatisticas_disciplina(w: Warehouse) -> DataFrame:
-    """Grade statistics of each subject, with quartiles."""
+    """Grade statistics of each subject, with quartiles.
+
+    Values and students are counted apart: the first needs no student ids and hardly a shuffle,
+    and an exact distinct count beside other aggregates would carry those through its own.
+    """
     quartiles = {"percentil_25": 0.25, "mediana": 0.5, "percentil_75": 0.75}
-    stats = _subject_moments(
-        w, *[percentile_cont(p, "nota", "linhas").alias(name) for name, p in quartiles.items()]
-    )
+    values = value_counts(w.nota, ["disciplina"])
     students = distinct_students(w.nota, ["disciplina"])
     return (
-        stats.join(students, null_safe(stats, students, ["disciplina"]))
+        values.unionByName(students, allowMissingColumns=True)
+        .groupBy("disciplina")
+        .agg(
+            F.sum("total_notas").alias("total_notas"),
+            F.sum("total_alunos").alias("total_alunos"),
+            *moments("nota", "linhas"),
+            *[percentile_cont(p, "nota", "linhas").alias(name) for name, p in quartiles.items()],
+        )
         .select(
-            stats["disciplina"],
+            "disciplina",
             "total_notas",
             "total_alunos",
             *descriptive(
@@ -196,21 +204,17 @@ def histograma_disciplina(w: Warehouse) -> DataFrame:
 
 
 def ranking_disciplinas(w: Warehouse) -> DataFrame:
-    """Rank and label of each subject by its mean grade.
-
-    The window has no partition, but its input is already one row per subject.
-    """
+    """Rank and label of each subject by its mean grade."""
     label = F.lit(CLASS_BELOW)
     for floor, name in reversed(CLASS_FLOORS):
         label = F.when(F.col("exata") >= F.lit(floor).cast("decimal(4,1)"), name).otherwise(label)
-    order = Window.orderBy(F.desc_nulls_first("exata"))
+    subjects = _subject_moments(w).select("disciplina", mean().alias("exata"))
     return (
-        _subject_moments(w)
-        .select("disciplina", mean().alias("exata"))
+        with_rank(subjects, [], "exata", "ranking_geral")
         .select(
             "disciplina",
             round2(F.col("exata")).alias("media_nota"),
-            F.rank().over(order).cast("bigint").alias("ranking_geral"),
+            "ranking_geral",
             label.alias("classificacao"),
         )
         .orderBy(F.desc_nulls_first("media_nota"), "disciplina")

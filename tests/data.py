@@ -1,0 +1,45 @@
+"""Small hand-made inputs."""
+
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+
+from boletim.warehouse import Warehouse
+
+RUN_TS = datetime(2024, 3, 1, 12, 30)
+
+ESCOLA_SCHEMA = "escola_id string, nome string, rede string, regiao string"
+ALUNO_SCHEMA = "id string, escola_id string"
+NOTA_SCHEMA = "aluno_id string, disciplina string, nota decimal(4,1)"
+
+
+def make_warehouse(spark, escolas, alunos, notas) -> Warehouse:
+    notas = [(a, d, None if n is None else Decimal(str(n))) for a, d, n in notas]
+    return Warehouse(
+        spark.createDataFrame(escolas, ESCOLA_SCHEMA),
+        spark.createDataFrame(alunos, ALUNO_SCHEMA),
+        spark.createDataFrame(notas, NOTA_SCHEMA),
+    )
+
+
+def golden(spark) -> Warehouse:
+    return make_warehouse(
+        spark,
+        [
+            ("E1", "Escola Um", "pública", "Norte"),
+            ("E2", "Escola Dois", "privada", "Norte"),
+            ("E3", "Escola Três", "privada", "Sul"),
+        ],
+        [("A1", "E1"), ("A2", "E1"), ("A3", "E2"), ("A4", "E2")],
+        [
+            ("A1", "Matemática", 7.0),
+            ("A1", "Português", 8.0),
+            ("A2", "Matemática", 5.0),
+            ("A3", "Matemática", 9.0),
+        ],
+    )
+
+
+def rows(df) -> list[tuple]:
+    return [tuple(r) for r in df.collect()]

@@ -23,6 +23,8 @@ def create_warehouse(spark: SparkSession, db: str) -> None:
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     for e in ENTITIES.values():
-        table = f"{db}.{e.name}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns_sql(e)}) USING parquet")
-        spark.sql(f"COMMENT ON TABLE {table} IS '{e.comment}'")
+        # COMMENT ON TABLE afterwards would rewrite the schema without its length limits.
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {db}.{e.name} ({_columns_sql(e)}) "
+            f"USING parquet COMMENT '{e.comment}'"
+        )

@@ -23,5 +23,7 @@ def read_raw(spark: SparkSession, base: str, name: str, infer: bool = False) ->
 
 
 def write_raw(df: DataFrame, base: str, name: str) -> None:
-    columns = entity(name).column_names
-    df.select(columns).write.mode("overwrite").option("header", True).csv(raw_path(base, name))
+    """Write one raw dataset, full overwrite; padding of the text is kept."""
+    padding = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    writer = df.select(entity(name).column_names).write.mode("overwrite").option("header", True)
+    writer.options(**padding).csv(raw_path(base, name))

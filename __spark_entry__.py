@@ -29,6 +29,7 @@ from boletim.operators.quality import (  # noqa: E402
 )
 from boletim.plans.etl import run_pipeline  # noqa: E402
 from boletim.plans.queries import NAMED_QUERIES, media_global  # noqa: E402
+from boletim.plans.report import prepared  # noqa: E402
 from boletim.schemas import ALUNO, GRADE_RANGE, NOTA  # noqa: E402
 from boletim.sinks.load import CatalogTarget  # noqa: E402
 from boletim.sinks.parquet import write_processed  # noqa: E402
@@ -47,6 +48,11 @@ def _named(question: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, sf_dir: question(warehouse(spark, sf_dir))
 
 
+def _prepared(question: Callable[[Warehouse], DataFrame]) -> Query:
+    """The question over grades reduced and written beforehand."""
+    return lambda spark, sf_dir: question(prepared(spark, warehouse(spark, sf_dir)))
+
+
 def _on_view(name: str, work: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: work(spark_view(spark, sf_dir, name))
 
@@ -143,6 +149,8 @@ def queries() -> dict[str, Query]:
     return {
         **named,
         "media_global": _named(media_global),
+        "ranking_escolas_regiao_prepared": _prepared(NAMED_QUERIES["ranking_escolas_regiao"]),
+        "estatisticas_disciplina_prepared": _prepared(NAMED_QUERIES["estatisticas_disciplina"]),
         "clean_escolas": _on_view("escolas", lambda df: clean_escolas(df, RUN_TS)),
         "clean_alunos": _on_view("alunos", lambda df: clean_alunos(df, RUN_TS)),
         "clean_notas": _on_view("notas", lambda df: clean_notas(df, RUN_TS)),
@@ -187,4 +195,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle.NAMED, **oracle.CLEAN, **oracle.QUALITY, **oracle.STORAGE}
+    return {**oracle.NAMED, **oracle.PREPARED, **oracle.CLEAN, **oracle.QUALITY, **oracle.STORAGE}

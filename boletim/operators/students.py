@@ -37,7 +37,7 @@ def students_per(w: Warehouse, keys: list[str]) -> DataFrame:
 def student_moments(w: Warehouse, keys: list[str]) -> DataFrame:
     """:func:`students_per` with each student's grade moments, NULL where there are none."""
     students = students_per(w, keys)
-    grades = grades_per_student(w.nota)
+    grades = grades_per_student(w.nota) if w.per_student is None else w.per_student
     return students.join(grades, students["id"] == grades["aluno_id"], "left").drop("aluno_id")
 
 
@@ -103,10 +103,10 @@ def group_distribution(w: Warehouse, keys: list[str]) -> DataFrame:
     Rows hold ``escolas``, ``alunos`` or (``nota``, ``peso``); aggregate them by ``keys``.
     """
     schools = _distinct_schools(w, keys)
-    # Counting by peso keeps this branch on the same columns as the join, so the exchange of
+    # This count reads the same rows and columns as the join does, so that the exchange of
     # students is computed once and used by both.
-    placed = F.when(F.col("peso") > 0, F.col("id"))
-    students = students_per(w, keys).groupBy(*keys).agg(F.count(placed).alias("alunos"))
+    placed = students_per(w, keys).where(F.col("id").isNotNull())
+    students = placed.groupBy(*keys).agg(F.count_if(F.col("peso") > 0).alias("alunos"))
     grades = placed_grades(w, keys).groupBy(*keys, "nota").agg(F.sum("peso").alias("peso"))
     return schools.unionByName(students, allowMissingColumns=True).unionByName(
         grades, allowMissingColumns=True

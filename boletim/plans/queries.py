@@ -137,8 +137,7 @@ def rede_por_regiao(w: Warehouse) -> DataFrame:
 
 
 def _subject_moments(w: Warehouse, *more) -> DataFrame:
-    counts = value_counts(w.nota, ["disciplina"])
-    return counts.groupBy("disciplina").agg(*moments("nota", "linhas"), *more)
+    return value_counts(w).groupBy("disciplina").agg(*moments("nota", "linhas"), *more)
 
 
 def estatisticas_disciplina(w: Warehouse) -> DataFrame:
@@ -148,10 +147,9 @@ def estatisticas_disciplina(w: Warehouse) -> DataFrame:
     and an exact distinct count beside other aggregates would carry those through its own.
     """
     quartiles = {"percentil_25": 0.25, "mediana": 0.5, "percentil_75": 0.75}
-    values = value_counts(w.nota, ["disciplina"])
-    students = distinct_students(w.nota, ["disciplina"])
     return (
-        values.unionByName(students, allowMissingColumns=True)
+        value_counts(w)
+        .unionByName(distinct_students(w.nota), allowMissingColumns=True)
         .groupBy("disciplina")
         .agg(
             F.sum("total_notas").alias("total_notas"),
@@ -239,7 +237,7 @@ def disciplina_por_rede(w: Warehouse) -> DataFrame:
 
 def media_global(w: Warehouse) -> DataFrame:
     """Mean of all grades, in one row."""
-    return w.nota.agg(*moments("nota")).select(
+    return value_counts(w).agg(*moments("nota", "linhas")).select(
         F.col("n").alias("total_notas"), *descriptive({"media": "media"})
     )
 

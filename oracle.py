@@ -96,6 +96,11 @@ NAMED = {
     ),
 }
 
+PREPARED = {
+    f"{name}_prepared": NAMED[name]
+    for name in ("ranking_escolas_regiao", "estatisticas_disciplina")
+}
+
 _STAMPS = f"{_TS} AS ingestion_time, {_TS} AS created_at, {_TS} AS updated_at"
 _CLEAN_ESCOLAS = f"""SELECT escola_id, trim(nome) AS nome, lower(trim(rede)) AS rede,
     trim(regiao) AS regiao, {_STAMPS} FROM escolas"""

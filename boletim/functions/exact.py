@@ -6,8 +6,6 @@ aggregate below is combined on the map side, and exact at any number of rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,11 +82,3 @@ def descriptive(names: dict[str, str]) -> list[Column]:
         "maximo": lambda: round2(F.col("maior")),
     }
     return [exprs[stat]().alias(out) for stat, out in names.items()]
-
-
-def null_safe(left, right, keys: Iterable[str]) -> Column:
-    """Equality of ``keys`` where NULL matches NULL, as in GROUP BY."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition

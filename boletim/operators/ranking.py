@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boletim.functions.exact import null_safe
-
 # Slices per unit of value: at most 10,000 times the range of grades per group.
 SLICES_PER_UNIT = 10_000
 
@@ -30,28 +30,35 @@ def with_rank(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_slice", slice_)
     )
-    slices = _above_slice(values, keys, value, group_mean)
     higher = Window.partitionBy(*keys, "_slice").orderBy(F.desc_nulls_first(value))
     higher = higher.rowsBetween(Window.unboundedPreceding, -1)
     within = values.withColumn("_before", F.coalesce(F.sum("_rows").over(higher), F.lit(0)))
+    slices = _above_slice(within, keys, value, group_mean)
     extra = [group_mean] if group_mean else []
-    ranks = within.join(slices, null_safe(within, slices, [*keys, "_slice"])).select(
-        *[within[k] for k in [*keys, value]],
-        (F.lit(1) + F.col("_before") + F.col("_above")).alias(rank),
-        *extra,
-    )
-    joined = df.alias("row").join(ranks, null_safe(df, ranks, [*keys, value]))
-    return joined.select("row.*", rank, *extra)
+    placed = _join_null_safe(within, slices, [*keys, "_slice"])
+    above = (F.lit(1) + F.col("_before") + F.col("_above")).alias(rank)
+    ranks = placed.select(*keys, value, above, *extra)
+    return _join_null_safe(df, ranks, [*keys, value])
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join where NULL matches NULL, as in GROUP BY; ``keys`` come from the left."""
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    joined = left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, same))
+    return joined.select("l.*", *[F.col(f"r.{c}") for c in right.columns if c not in keys])
 
 
 def _above_slice(
-    values: DataFrame, keys: list[str], value: str, group_mean: str | None
+    within: DataFrame, keys: list[str], value: str, group_mean: str | None
 ) -> DataFrame:
-    """Per slice: rows of the group in higher slices, and the group's mean."""
+    """Per slice: rows of the group in higher slices, and the group's mean.
+
+    A slice's rows are taken from the running count, so this needs no exchange of its own.
+    """
     # 22 + 15 digits and one more: the product keeps all 19 decimals of the value.
     counted = F.when(F.col(value).isNotNull(), F.col("_rows")).cast("decimal(15,0)")
-    slices = values.groupBy(*keys, "_slice").agg(
-        F.sum("_rows").alias("_slice_rows"),
+    slices = within.groupBy(*keys, "_slice").agg(
+        F.max(F.col("_before") + F.col("_rows")).alias("_slice_rows"),
         F.sum(F.col(value) * counted).alias("_total"),
         F.sum(counted).alias("_counted"),
     )

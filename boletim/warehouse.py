@@ -42,3 +42,8 @@ class Warehouse:
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in ENTITIES}
+
+    def create_views(self) -> None:
+        """Name the tables for SQL text in this session: ``escola``, ``aluno``, ``nota``."""
+        for name, df in self.tables().items():
+            df.createOrReplaceTempView(name)

@@ -144,3 +144,41 @@ def test_jdbc_options_of_other_databases(spark):
         load_jdbc(spark.range(1), "jdbc:other:x", "t", {"numPartitions": "4"})
     properties = recorder.calls[0][4]
     assert properties == {"numPartitions": "4", "batchsize": "10000"}
+
+
+def test_command_line_job(spark, tmp_path, catalog, caplog):
+    from boletim.job import main
+
+    raw, processed = write_raw_files(tmp_path)
+    options = ["--run-ts", "2024-03-01T12:30:00", "--catalog-db", "t_load"]
+    with caplog.at_level("INFO"):
+        main(["--raw", raw, "--processed", processed, *options])
+    assert "nota: 3 rows read, 2 written" in caplog.text
+    assert "load of nota: loaded" in caplog.text
+    assert spark.table("t_load.nota").first()["ingestion_time"] == RUN_TS
+
+
+def test_command_line_target(spark, monkeypatch):
+    from boletim.job import parse, target_of
+
+    monkeypatch.setenv("DB_PASSWORD", "s")
+    paths = ["--raw", "r", "--processed", "p"]
+    jdbc = ["--jdbc-url", "jdbc:x", "--jdbc-user", "u", "--jdbc-password-env", "DB_PASSWORD"]
+    assert target_of(spark, parse([*paths, *jdbc])) == JdbcTarget(
+        "jdbc:x", {"user": "u", "password": "s"}
+    )
+    assert target_of(spark, parse(paths)) is None
+
+
+def test_own_sql_over_the_tables(spark, tmp_path):
+    raw, processed = write_raw_files(tmp_path)
+    run_pipeline(spark, raw, processed, RUN_TS)
+    Warehouse.from_processed(spark, processed).create_views()
+    found = spark.sql(
+        "SELECT e.regiao, percentile_cont(0.5) WITHIN GROUP (ORDER BY n.nota) p, count(*) c "
+        "FROM escola e JOIN aluno a USING (escola_id) JOIN nota n ON n.aluno_id = a.id "
+        "GROUP BY ALL ORDER BY 1"
+    )
+    assert [(r["regiao"], float(r["p"]), r["c"]) for r in found.collect()] == [
+        ("Norte", 0.3, 1), ("Sul", 10.0, 1),
+    ]

@@ -145,3 +145,15 @@ def test_prepared_questions_leave_the_grades_alone(spark):
     ready = prepared(spark, derived_views.warehouse(spark, SF_DIR))
     for name in ("media_por_escola", "ranking_escolas_regiao", "histograma_disciplina"):
         assert "FileScan parquet [l_" not in final_plan(NAMED_QUERIES[name](ready))
+
+
+def test_hot_value_is_split_over_tasks(spark, tmp_path, shuffle_everything):
+    """Most rows share one value, which the join of ranks back to the rows has to split."""
+    value = F.when(F.col("id") % 3 > 0, F.pmod(F.hash("id"), F.lit(99_999)) / 10_000)
+    df = spark.range(HOT_ROWS).select(
+        "id", F.lit("Sul").alias("g"), value.cast("decimal(22,19)").alias("v")
+    )
+    df.repartition(8).write.parquet(str(tmp_path / "v"))
+    ranked = with_rank(spark.read.parquet(str(tmp_path / "v")), ["g"], "v", "r", "m")
+    assert "SortMergeJoin(skew=true) [coalesce(g" in final_plan(ranked)
+    assert ranked.where("v is null").select("r").distinct().collect() == [(1,)]

@@ -67,7 +67,9 @@ def media_por_regiao(w: Warehouse) -> DataFrame:
             "total_escolas",
             "total_alunos",
             F.col("n").alias("total_notas"),
-            *descriptive({"media": "media_geral", "minimo": "nota_minima", "maximo": "nota_maxima"}),
+            *descriptive(
+                {"media": "media_geral", "minimo": "nota_minima", "maximo": "nota_maxima"}
+            ),
         )
         .orderBy(F.desc_nulls_last("media_geral"), "regiao")
     )

@@ -81,7 +81,9 @@ def test_logged_failure_keeps_parquet_and_skips_the_rest(spark, tmp_path, catalo
 def test_grades_of_known_students_can_follow_later(spark, tmp_path, catalog):
     paths = write_raw_files(tmp_path)
     run_pipeline(spark, *paths, RUN_TS, catalog)
-    later = spark.createDataFrame([("A1", "História", 7.0)], "aluno_id string, disciplina string, nota double")
+    later = spark.createDataFrame(
+        [("A1", "História", 7.0)], "aluno_id string, disciplina string, nota double"
+    )
     stamped = later.selectExpr("*", "timestamp_ntz'2024-03-02 00:00:00' ingestion_time")
     from boletim.sinks.load import batch_violations
 

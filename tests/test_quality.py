@@ -22,7 +22,8 @@ def _sorted(df):
 
 
 def test_not_null_reports_every_column(spark):
-    df = spark.createDataFrame([("1", None, None), ("2", "x", "y"), (None, "x", None)], "k string, a string, b string")
+    data = [("1", None, None), ("2", "x", "y"), (None, "x", None)]
+    df = spark.createDataFrame(data, "k string, a string, b string")
     assert _sorted(check_not_null(df, "t", ["k"], ["k", "a", "b"])) == [
         ("t", "not_null", "1", "a"),
         ("t", "not_null", "1", "b"),
@@ -51,7 +52,8 @@ def test_fk_lists_each_missing_parent_once(spark):
 
 
 def test_range_lets_null_pass(spark):
-    df = spark.createDataFrame([("1", -0.5), ("2", 0.0), ("3", 10.0), ("4", 10.5), ("5", None)], "k string, v double")
+    data = [("1", -0.5), ("2", 0.0), ("3", 10.0), ("4", 10.5), ("5", None)]
+    df = spark.createDataFrame(data, "k string, v double")
     assert _sorted(check_range(df, "t", ["k"], "v", 0, 10)) == [
         ("t", "range", "1", "v=-0.5"),
         ("t", "range", "4", "v=10.5"),
@@ -64,7 +66,8 @@ def test_length_counts_characters(spark):
 
 
 def test_decimal(spark):
-    df = spark.createDataFrame([("1", 999.94), ("2", 999.95), ("3", float("nan")), ("4", None)], "k string, v double")
+    data = [("1", 999.94), ("2", 999.95), ("3", float("nan")), ("4", None)]
+    df = spark.createDataFrame(data, "k string, v double")
     assert _sorted(check_decimal(df, "t", ["k"], "v", 4, 1)) == [
         ("t", "decimal", "2", "v=999.95"),
         ("t", "decimal", "3", "v=NaN"),

@@ -77,7 +77,8 @@ def test_band_and_label_edges(spark):
     means = {"sete": [7], "seis": [6], "cinco": [5], "quase": [7] * 99 + [6.9], "menos": [4.9]}
     notas += [(f"{d}{i}", d, g) for d, gs in means.items() for i, g in enumerate(gs)]
     w = make_warehouse(spark, [], [], [*notas, ("Z", "vazia", None)])
-    bands = {r["disciplina"]: tuple(r)[1:7] for r in NAMED_QUERIES["histograma_disciplina"](w).collect()}
+    counted = NAMED_QUERIES["histograma_disciplina"](w).collect()
+    bands = {r["disciplina"]: tuple(r)[1:7] for r in counted}
     assert bands["D"] == (2, 2, 2, 2, 2, 10)
     assert bands["vazia"] == (0, 0, 0, 0, 0, 1)
     labels = {r[0]: tuple(r)[1:] for r in NAMED_QUERIES["ranking_disciplinas"](w).collect()}
@@ -115,7 +116,9 @@ def _sd(grades):
     if len(grades) < 2:
         return None
     value = Decimal(repr(statistics.stdev([float(g) for g in grades])))
-    return float(value.quantize(Decimal("1.0000000000"), ROUND_HALF_UP).quantize(Decimal("1.00"), ROUND_HALF_UP))
+    for places in ("1.0000000000", "1.00"):
+        value = value.quantize(Decimal(places), ROUND_HALF_UP)
+    return float(value)
 
 
 def _pct(grades, p):
@@ -256,7 +259,9 @@ def expected(name, schools, students, grades):
         out = []
         for k, items in by_subject.items():
             g = _fractions(i[2] for i in items)
-            bands = [sum(lo <= x < lo + 2 or (lo == 8 and x == 10) for x in g) for lo in range(0, 10, 2)]
+            bands = [
+                sum(lo <= x < lo + 2 or (lo == 8 and x == 10) for x in g) for lo in range(0, 10, 2)
+            ]
             out.append((k, *bands, len(items), _r2(_mean(g))))
         return out
     if name == "ranking_disciplinas":
@@ -267,10 +272,10 @@ def expected(name, schools, students, grades):
                 return "Precisa Melhorar"
             return "Excelente" if m >= 7 else "Bom" if m >= 6 else "Regular"
 
-        return [
-            (k, _r2(m), 1 + (0 if m is None else sum(x is None or x > m for x in means.values())), label(m))
-            for k, m in means.items()
-        ]
+        def above(m):
+            return 0 if m is None else sum(x is None or x > m for x in means.values())
+
+        return [(k, _r2(m), 1 + above(m), label(m)) for k, m in means.items()]
     if name == "disciplina_por_rede":
         inner = [x for x in link if x[1] is not None and x[1] in {g[0] for g in grades}]
         out = []

@@ -11,12 +11,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import derived_views
+from boletim.operators.clean import clean_notas
 from boletim.operators.ranking import with_rank
 from boletim.plans.queries import NAMED_QUERIES, media_global
 from boletim.plans.report import answer_all, prepared
+from boletim.schemas import raw_schema
 from boletim.sinks.parquet import write_processed
-from boletim.operators.clean import clean_notas
-from boletim.warehouse import Warehouse
+from boletim.sources.processed import read_processed
+from boletim.warehouse import Warehouse, to_warehouse
 from tests.conftest import SF_DIR
 from tests.data import RUN_TS, golden, rows
 from tests.test_queries import GOLDEN
@@ -43,11 +45,11 @@ def test_scans_of_each_table(spark, conf, name, broadcast):
 
 def test_values_are_counted_without_student_ids(spark, tmp_path):
     base = str(tmp_path)
-    raw = spark.createDataFrame([("A1", "M", "7"), ("A2", "H", "8")], "aluno_id string, disciplina string, nota string")
+    raw = spark.createDataFrame([("A1", "M", "7"), ("A2", "H", "8")], raw_schema("nota"))
     write_processed(clean_notas(raw, RUN_TS), base, "nota")
-    stored = spark.read.parquet(f"{base}/nota").withColumn("nota", F.col("nota").cast("decimal(4,1)"))
-    w = Warehouse(None, None, stored)
-    for question in (NAMED_QUERIES["histograma_disciplina"], NAMED_QUERIES["ranking_disciplinas"], media_global):
+    w = Warehouse(None, None, to_warehouse(read_processed(spark, base, "nota"), "nota"))
+    names = ("histograma_disciplina", "ranking_disciplinas")
+    for question in (*[NAMED_QUERIES[n] for n in names], media_global):
         assert "ReadSchema: struct<nota:double>" in final_plan(question(w))
 
 
@@ -121,7 +123,8 @@ def test_rank_equals_the_window_function(spark, keys):
     data = []
     for i in range(3000):
         g = "hot" if i % 3 == 0 else rnd.choice(["a", "b", None])
-        v = rnd.choice([None, Decimal(10), Decimal(rnd.randint(0, 10**6)) / 10**5, Decimal("6.66666")])
+        other = Decimal(rnd.randint(0, 10**6)) / 10**5
+        v = rnd.choice([None, Decimal(10), other, Decimal("6.66666")])
         data.append((i, g, rnd.choice(["x", None]), v))
     df = spark.createDataFrame(data, "i int, g string, h string, v decimal(22,19)")
     got = with_rank(df, keys, "v", "r", "m")

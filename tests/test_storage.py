@@ -41,7 +41,8 @@ def test_raw_files_with_other_headers_fail(spark, tmp_path):
 
 def test_raw_inference_is_optional(spark, tmp_path):
     _write(str(tmp_path / "alunos/a.csv"), "id,nome,idade,genero,escola_id\nA1,Ana,12,F,E1\n")
-    assert read_raw(spark, str(tmp_path), "alunos").schema["idade"].dataType.simpleString() == "string"
+    text = read_raw(spark, str(tmp_path), "alunos")
+    assert text.schema["idade"].dataType.simpleString() == "string"
     inferred = read_raw(spark, str(tmp_path), "alunos", infer=True)
     assert inferred.schema["idade"].dataType.simpleString() == "int"
 
@@ -128,7 +129,8 @@ def db(spark):
 def test_register_layers(spark, tmp_path, db):
     raw, processed = str(tmp_path / "raw"), str(tmp_path / "processed")
     write_raw(_escolas(spark), raw, "escolas")
-    write_raw(spark.createDataFrame([("A1", "n", "12", "m", "E1")], raw_schema("alunos")), raw, "alunos")
+    students = spark.createDataFrame([("A1", "n", "12", "m", "E1")], raw_schema("alunos"))
+    write_raw(students, raw, "alunos")
     write_raw(_notas(spark).withColumn("nota", F.col("nota").cast("string")), raw, "notas")
     write_processed(_escolas(spark), processed, "escola")
     write_processed(clean_alunos(read_raw(spark, raw, "alunos"), RUN_TS), processed, "aluno")
@@ -153,7 +155,8 @@ def test_register_follows_changes(spark, tmp_path, db):
     first = register_dataset(spark, "t_raw", "d", path, "parquet", partition_by=["p"])
     assert first.created and spark.table("t_raw.d").count() == 3
 
-    spark.range(2).selectExpr("id", "id x", "'b' p").write.mode("append").partitionBy("p").parquet(path)
+    wider = spark.range(2).selectExpr("id", "id x", "'b' p")
+    wider.write.mode("append").partitionBy("p").parquet(path)
     seen = register_dataset(spark, "t_raw", "d", path, "parquet", on_change="log")
     assert seen.added == ["x"] and "x" not in spark.table("t_raw.d").columns
     assert spark.table("t_raw.d").count() == 5

@@ -145,7 +145,7 @@ def register_layers(
 
 
 def list_tables(spark: SparkSession, db: str, names: Iterable[str] = tuple(ENTITIES)) -> DataFrame:
-    """``table_name, table_type`` of the named tables that exist, by name."""
-    rows = [(t.name, t.tableType) for t in spark.catalog.listTables(db)]
+    """``table_name, table_type`` of the named tables that exist, by name; no session views."""
+    rows = [(t.name, t.tableType) for t in spark.catalog.listTables(db) if not t.isTemporary]
     tables = spark.createDataFrame(rows, "table_name string, table_type string")
     return tables.where(F.col("table_name").isin(list(names))).orderBy("table_name")

@@ -144,9 +144,11 @@ def test_register_layers(spark, tmp_path, db):
     assert sorted(rows(spark.table("t_processed.escola").select("escola_id", "regiao"))) == [
         ("E1", "Sul"), ("E2", "02"), ("E3", None),
     ]
+    spark.range(1).createOrReplaceTempView("nota")
     assert rows(list_tables(spark, "t_processed", ["nota", "escola", "none"])) == [
         ("escola", "EXTERNAL"), ("nota", "EXTERNAL"),
     ]
+    spark.catalog.dropTempView("nota")
 
 
 def test_register_follows_changes(spark, tmp_path, db):

@@ -56,8 +56,10 @@ def test_values_are_counted_without_student_ids(spark, tmp_path):
 HOT_ROWS = 60_000
 
 
-def hot_warehouse(spark, tmp_path) -> Warehouse:
+@pytest.fixture(scope="module")
+def hot_folder(spark, tmp_path_factory):
     """A third of the grades on one student, a third of the students at one school."""
+    folder = tmp_path_factory.mktemp("hot")
     third = F.col("id") % 3 == 0
     escola = spark.range(300).select(
         F.concat(F.lit("E"), "id").alias("escola_id"),
@@ -74,11 +76,13 @@ def hot_warehouse(spark, tmp_path) -> Warehouse:
         F.when(F.col("id") % 4 == 0, "Inglês").otherwise("Matemática").alias("disciplina"),
         (F.pmod(F.hash("id"), F.lit(101)) / 10).cast("decimal(4,1)").alias("nota"),
     )
-    stored = []
     for name, df in (("escola", escola), ("aluno", aluno), ("nota", nota)):
-        df.repartition(8).write.parquet(str(tmp_path / name))
-        stored.append(spark.read.parquet(str(tmp_path / name)))
-    return Warehouse(*stored)
+        df.repartition(8).write.parquet(str(folder / name))
+    return folder
+
+
+def hot_warehouse(spark, folder) -> Warehouse:
+    return Warehouse(*(spark.read.parquet(str(folder / n)) for n in ("escola", "aluno", "nota")))
 
 
 @pytest.fixture
@@ -97,21 +101,21 @@ def shuffle_everything(conf):
 
 
 @pytest.mark.parametrize("name", ["disciplina_por_rede", "comparacao_redes"])
-def test_hot_student_is_split_over_tasks(spark, tmp_path, shuffle_everything, name):
-    w = hot_warehouse(spark, tmp_path)
+def test_hot_student_is_split_over_tasks(spark, hot_folder, shuffle_everything, name):
+    w = hot_warehouse(spark, hot_folder)
     plan = final_plan(NAMED_QUERIES[name](w))
     assert "SortMergeJoin(skew=true) [aluno_id" in plan
 
 
 @pytest.mark.parametrize("name", ["media_por_regiao", "rede_por_regiao", "comparacao_redes"])
-def test_hot_school_is_split_over_tasks(spark, tmp_path, shuffle_everything, name):
-    w = hot_warehouse(spark, tmp_path)
+def test_hot_school_is_split_over_tasks(spark, hot_folder, shuffle_everything, name):
+    w = hot_warehouse(spark, hot_folder)
     assert "SortMergeJoin(skew=true) [escola_id" in final_plan(NAMED_QUERIES[name](w))
 
 
 @pytest.mark.parametrize("name", NAMED_QUERIES)
-def test_hot_keys_do_not_change_results(spark, tmp_path, shuffle_everything, conf, name):
-    w = hot_warehouse(spark, tmp_path)
+def test_hot_keys_do_not_change_results(spark, hot_folder, shuffle_everything, conf, name):
+    w = hot_warehouse(spark, hot_folder)
     split = rows(NAMED_QUERIES[name](w))
     conf(spark__sql__autoBroadcastJoinThreshold="10MB", spark__sql__adaptive__enabled="false")
     assert rows(NAMED_QUERIES[name](w)) == split

@@ -150,6 +150,7 @@ def queries() -> dict[str, Query]:
         **named,
         "media_global": _named(media_global),
         "ranking_escolas_regiao_prepared": _prepared(NAMED_QUERIES["ranking_escolas_regiao"]),
+        "comparacao_redes_prepared": _prepared(NAMED_QUERIES["comparacao_redes"]),
         "estatisticas_disciplina_prepared": _prepared(NAMED_QUERIES["estatisticas_disciplina"]),
         "clean_escolas": _on_view("escolas", lambda df: clean_escolas(df, RUN_TS)),
         "clean_alunos": _on_view("alunos", lambda df: clean_alunos(df, RUN_TS)),

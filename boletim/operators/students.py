@@ -87,27 +87,34 @@ def group_moments(w: Warehouse, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(*entity_counts(), *combine_moments("peso"))
 
 
-def placed_grades(w: Warehouse, keys: list[str]) -> DataFrame:
-    """Grade rows of placed students, with ``keys`` and ``peso``.
+def grades_per_network(w: Warehouse) -> DataFrame:
+    """``disciplina, rede, nota, peso``: placed grades by subject, network and value.
 
-    Grades come in unaggregated, since the result still needs their values; a student with very
-    many of them is split by adaptive skew handling, the other side being one row per group.
+    Grades come to the join unaggregated, since the result still needs their values; a student
+    with very many of them is split by adaptive skew handling, the other side being one row per
+    network. What leaves the join is small: a grade has few values.
     """
-    students = students_per(w, keys)
-    return w.nota.join(students, w.nota["aluno_id"] == students["id"]).drop("id")
+    students = _students_of_networks(w)
+    placed = w.nota.join(students, w.nota["aluno_id"] == students["id"])
+    return placed.groupBy("disciplina", "rede", "nota").agg(F.sum("peso").alias("peso"))
 
 
-def group_distribution(w: Warehouse, keys: list[str]) -> DataFrame:
-    """As :func:`group_moments`, but with a row per grade value instead of final statistics.
+def network_values(w: Warehouse) -> DataFrame:
+    return grades_per_network(w) if w.per_network is None else w.per_network
 
-    Rows hold ``escolas``, ``alunos`` or (``nota``, ``peso``); aggregate them by ``keys``.
-    """
-    schools = _distinct_schools(w, keys)
-    # This count reads the same rows and columns as the join does, so that the exchange of
-    # students is computed once and used by both.
-    placed = students_per(w, keys).where(F.col("id").isNotNull())
-    students = placed.groupBy(*keys).agg(F.count_if(F.col("peso") > 0).alias("alunos"))
-    grades = placed_grades(w, keys).groupBy(*keys, "nota").agg(F.sum("peso").alias("peso"))
+
+def _students_of_networks(w: Warehouse) -> DataFrame:
+    return students_per(w, ["rede"]).where(F.col("id").isNotNull())
+
+
+def network_rows(w: Warehouse) -> DataFrame:
+    """Rows with ``escolas``, ``alunos`` or (``nota``, ``peso``), to aggregate by ``rede``."""
+    schools = _distinct_schools(w, ["rede"])
+    # This count reads the same rows and columns as the join of grades does, so that the exchange
+    # of students is computed once and used by both.
+    students = _students_of_networks(w).groupBy("rede")
+    students = students.agg(F.count_if(F.col("peso") > 0).alias("alunos"))
+    grades = network_values(w).select("rede", "nota", "peso")
     return schools.unionByName(students, allowMissingColumns=True).unionByName(
         grades, allowMissingColumns=True
     )

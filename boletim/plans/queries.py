@@ -19,9 +19,9 @@ from boletim.operators.distribution import distinct_students, value_counts
 from boletim.operators.ranking import with_rank
 from boletim.operators.students import (
     entity_counts,
-    group_distribution,
     group_moments,
-    placed_grades,
+    network_rows,
+    network_values,
     school_moments,
 )
 from boletim.warehouse import Warehouse
@@ -97,7 +97,7 @@ def ranking_escolas_regiao(w: Warehouse) -> DataFrame:
 def comparacao_redes(w: Warehouse) -> DataFrame:
     """Grade statistics of each school network, with the median."""
     return (
-        group_distribution(w, ["rede"])
+        network_rows(w)
         .groupBy("rede")
         .agg(
             *entity_counts(),
@@ -224,7 +224,7 @@ def ranking_disciplinas(w: Warehouse) -> DataFrame:
 def disciplina_por_rede(w: Warehouse) -> DataFrame:
     """Grade statistics of each subject in each network."""
     return (
-        placed_grades(w, ["rede"])
+        network_values(w)
         .groupBy("disciplina", "rede")
         .agg(*moments("nota", "peso"))
         .select(

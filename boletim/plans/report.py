@@ -1,4 +1,8 @@
-"""Answering all questions in one go."""
+"""Answering all questions in one go.
+
+Apart, the nine questions shuffle the grade table seven times. Over the stored reductions it is
+three: by student, by student to their network, and by student for the exact distinct counts.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +11,14 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from boletim.operators.distribution import grades_per_value
-from boletim.operators.students import grades_per_student
+from boletim.operators.students import grades_per_network, grades_per_student
 from boletim.plans.queries import NAMED_QUERIES
 from boletim.storage import shared_folder
 from boletim.warehouse import Warehouse
 
 
 def prepared(spark: SparkSession, w: Warehouse, folder: str | None = None) -> Warehouse:
-    """Reduce the grades once, by student and by value, for every question that needs it.
+    """Reduce the grades once by student, by value and by network, for all questions.
 
     The reductions are written to ``folder`` (by default in the shared folder of the cluster), so
     a lost executor does not bring the grade table's shuffle back.
@@ -30,6 +34,7 @@ def prepared(spark: SparkSession, w: Warehouse, folder: str | None = None) -> Wa
         w,
         per_student=stored(grades_per_student(w.nota), "per_student"),
         per_value=stored(grades_per_value(w.nota), "per_value"),
+        per_network=stored(grades_per_network(w), "per_network"),
     )
 
 

@@ -24,13 +24,14 @@ def to_warehouse(df: DataFrame, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """``per_student`` and ``per_value`` are reductions of ``nota`` made beforehand, if any."""
+    """The three tables, and reductions of the grades made beforehand, if any."""
 
     escola: DataFrame
     aluno: DataFrame
     nota: DataFrame
     per_student: DataFrame | None = None
     per_value: DataFrame | None = None
+    per_network: DataFrame | None = None
 
     @classmethod
     def from_processed(cls, spark: SparkSession, base: str) -> Warehouse:

@@ -98,7 +98,7 @@ NAMED = {
 
 PREPARED = {
     f"{name}_prepared": NAMED[name]
-    for name in ("ranking_escolas_regiao", "estatisticas_disciplina")
+    for name in ("ranking_escolas_regiao", "comparacao_redes", "estatisticas_disciplina")
 }
 
 _STAMPS = f"{_TS} AS ingestion_time, {_TS} AS created_at, {_TS} AS updated_at"

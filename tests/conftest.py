@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
-        .config("spark.checkpoint.dir", str(work / "shared"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -112,10 +112,24 @@ def test_one_writer_per_directory_unless_it_is_large(spark, tmp_path, conf):
     assert len([f for f in os.listdir(d) if f.endswith(".parquet")]) > 1
 
 
-def test_shared_folder_is_the_one_of_the_session(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
-    assert one.startswith(base) and one != two
+class _Session:
+    """The two settings of a session that the folder depends on."""
+
+    def __init__(self, master, **conf):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = conf
+
+
+def test_shared_folder_is_the_one_of_the_session():
+    cluster = _Session("yarn", **{"spark.checkpoint.dir": "s3a://shared/"})
+    one, two = shared_folder(cluster, "x"), shared_folder(cluster, "x")
+    assert one.startswith("s3a://shared/x-") and one != two
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"), "x")
+    assert os.path.isdir(os.path.dirname(shared_folder(_Session("local[2]"), "x")))
 
 
 @pytest.fixture

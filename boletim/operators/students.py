@@ -1,8 +1,8 @@
 """Roll-ups along school -> student -> grade.
 
-The grade table is by far the largest. It is reduced to one row per student before it meets the
-other two, and the student table to one row per (group, student), so the only wide shuffles are
-those two reductions, each with a map-side step, and no join multiplies rows within a key.
+The grade table is by far the largest. Where the answer allows, it is reduced to one row per
+student before it meets the other two, and the student table to one row per (group, student).
+Both reductions have a map-side step, and no join multiplies rows within a key.
 """
 
 from __future__ import annotations

@@ -114,5 +114,9 @@ def test_row_rules_share_one_scan(spark, tmp_path):
     spark.range(1).selectExpr(
         "'A' aluno_id", "'M' disciplina", "cast(1 as decimal(4,1)) nota"
     ).write.parquet(str(tmp_path / "n"))
-    found = check_rows(spark.read.parquet(str(tmp_path / "n")), NOTA)
-    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    df = spark.read.parquet(str(tmp_path / "n"))
+    plan = check_rows(df, NOTA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    plan = check_not_null(df, "nota", ["aluno_id"], ["aluno_id", "nota"])
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(IsNull(aluno_id),IsNull(nota))]" in plan

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,11 +10,9 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Without that setting it is a folder beside the managed tables. The caller owns it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="boletim-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

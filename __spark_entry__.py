@@ -41,6 +41,12 @@ from boletim.streaming.ingest import ingest_new  # noqa: E402
 from boletim.warehouse import Warehouse, to_warehouse  # noqa: E402
 from derived_views import RUN_TS, spark_view, warehouse  # noqa: E402
 
+try:
+    from boletim.llm.queries import QUERIES as LLM_QUERIES
+    from boletim.llm.sql import SQL as LLM_SQL
+except ImportError:
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -192,8 +198,9 @@ def queries() -> dict[str, Query]:
         "parquet_pruned_nota": _pruned_nota,
         "load_catalog_nota": _load_catalog,
         "ingest_notas": _ingest,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle.NAMED, **oracle.PREPARED, **oracle.CLEAN, **oracle.QUALITY, **oracle.STORAGE}
+    return {**oracle.NAMED, **oracle.PREPARED, **oracle.CLEAN, **oracle.QUALITY, **oracle.STORAGE, **LLM_SQL}

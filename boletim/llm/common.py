@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,3 +24,15 @@ def whole_text(column: str = "text") -> Column:
 
 def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the path of Python workers started from here on.
+
+    On a cluster the package comes with ``--py-files`` or is installed; the folder is then unused.
+    """
+    folder = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if folder not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([folder, *known])

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from boletim.llm.common import tokenizer_file, whole_text
+from boletim.llm.common import let_workers_import, tokenizer_file, whole_text
 from boletim.storage import shared_folder
 
 CAPACITY = 2048
@@ -110,6 +110,7 @@ def cut(
 
     A null text is empty and has the end alone. Repeated rows are pieces of their own.
     """
+    let_workers_import(docs.sparkSession)
     file = file or tokenizer_file("word_bpe_49k.json")
     last = np.array([end], "<u4").tobytes()
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boletim.llm import mixing, packing, tokens, urls
+from boletim.llm import mixing, packing, tokens, toxicity, urls
 from boletim.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = toxicity.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -38,5 +44,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_url_filter, op5_token_counts, op9_bin_slack_packing, op10_source_mix)
+    for f in (op2_url_filter, op5_token_counts, op8_toxicity, op9_bin_slack_packing, op10_source_mix)
 }

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from boletim.llm.common import tokenizer_file, whole_text
+from boletim.llm.common import let_workers_import, tokenizer_file, whole_text
 
 SPACE = "▁"
 #: Merged pre-tokens that a worker remembers at most; beyond it, it starts again.
@@ -101,6 +101,7 @@ def token_counts(
 
     Repeated rows are counted each; an empty table gives no rows; other columns are not read.
     """
+    let_workers_import(docs.sparkSession)
     count = token_counter(model or tokenizer_file("piece_bpe_32k.model"))
     whole = whole_text(text)
     return docs.select(

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boletim.llm import mixing, packing, tokens, toxicity, urls
+from boletim.llm import fingerprints, mixing, packing, tokens, toxicity, urls
 from boletim.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
 
@@ -44,5 +48,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_url_filter, op5_token_counts, op8_toxicity, op9_bin_slack_packing, op10_source_mix)
+    for f in (op1_fingerprints, op2_url_filter, op5_token_counts, op8_toxicity, op9_bin_slack_packing, op10_source_mix)
 }

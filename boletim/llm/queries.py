@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boletim.llm import fingerprints, mixing, packing, tokens, toxicity, urls
+from boletim.llm import chat, fingerprints, mixing, packing, tokens, topk, toxicity, urls
 from boletim.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,14 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+def op4_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
@@ -48,5 +56,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_url_filter, op5_token_counts, op8_toxicity, op9_bin_slack_packing, op10_source_mix)
+    for f in (op1_fingerprints, op2_url_filter, op3_top_k, op4_perspectives, op5_token_counts, op8_toxicity, op9_bin_slack_packing, op10_source_mix)
 }

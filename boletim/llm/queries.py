@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boletim.llm import chat, fingerprints, jaccard, mixing, packing, tokens, topk, toxicity, urls
+from boletim.llm import chat, fingerprints, html, jaccard, mixing, packing, tokens, topk, toxicity, urls
 from boletim.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -60,5 +64,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_url_filter, op3_top_k, op4_perspectives, op5_token_counts, op7_jaccard_join, op8_toxicity, op9_bin_slack_packing, op10_source_mix)
+    for f in (op1_fingerprints, op2_url_filter, op3_top_k, op4_perspectives, op5_token_counts, op6_template_removal, op7_jaccard_join, op8_toxicity, op9_bin_slack_packing, op10_source_mix)
 }

@@ -264,3 +264,13 @@ def judge(
         .withColumn("score", toxicity(whole_text(), model))
         .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     )
+
+
+def ordinary(
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int = LABELLED_ROWS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, as they are."""
+    return docs.where(toxicity(whole_text(), fit(docs, labels, rows)) < threshold)

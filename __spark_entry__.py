@@ -42,8 +42,11 @@ from boletim.warehouse import Warehouse, to_warehouse  # noqa: E402
 from derived_views import RUN_TS, spark_view, warehouse  # noqa: E402
 
 try:
-    from boletim.llm.queries import QUERIES as LLM_QUERIES
+    import corpus_pipeline
+    from boletim.llm.queries import QUERIES
     from boletim.llm.sql import SQL as LLM_SQL
+
+    LLM_QUERIES = {**QUERIES, "pipeline": corpus_pipeline.run}
 except ImportError:
     LLM_QUERIES, LLM_SQL = {}, {}
 

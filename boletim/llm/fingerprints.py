@@ -5,24 +5,26 @@ hash of its text and of how many equal ones came before it. A sketch has ``CELLS
 the number, the XOR of digests and the XOR of check hashes of the paragraphs that fall into it; each
 paragraph falls into one cell of each quarter. Two versions' sketches are subtracted cell by cell,
 which cancels what they share, and cells with one paragraph left are peeled until nothing is left:
-that recovers the digests that differ. Where peeling fails, the paragraphs are dealt by hash to more
-sketches, so that about ``LOAD`` fall into each, and a sketch that fails again to four more with
-another hash, up to ``RETRIES`` times; the last resort, for chance collisions in each of them, is to
-compare the digests of that sketch.
+that recovers the digests that differ. Where peeling fails, a larger sketch is tried, in sections
+that the paragraphs are dealt to by hash, about ``LOAD`` to each; a section that fails again is dealt
+to four more with another hash, up to ``RETRIES`` times. The last resort, for chance collisions in
+each of them, is to compare the digests of that section.
 
 All of it is row-wise array expressions, so no paragraph is ever shuffled.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boletim.llm.common import whole_text
 
 CELLS = 32
-#: Paragraphs of both versions that a larger sketch is made for.
-LOAD = 10
+#: Where a sketch fails, paragraphs are dealt to sketches of so many cells, about so many to each.
+DEALT_CELLS, LOAD = 16, 4
 RETRIES = 3
 #: Rounds of peeling at most; each takes every cell that has one paragraph.
 ROUNDS = 12
@@ -70,9 +72,9 @@ def _check(x: Column) -> Column:
     return F.xxhash64(x, F.lit("check"))
 
 
-def _mask(x: Column, seed: int) -> Column:
+def _mask(x: Column, seed: int, count: int) -> Column:
     """The cells of a digest, as bits: one in each quarter."""
-    quarter = CELLS // 4
+    quarter = count // 4
 
     def bits(h: Column) -> Column:
         mask = F.lit(0).cast("bigint")
@@ -86,10 +88,11 @@ def _mask(x: Column, seed: int) -> Column:
     return _let(F.xxhash64(x, F.lit(seed)), bits)
 
 
-def cells(found: Column, seed: int = 0) -> Column:
+def cells(found: Column, seed: int = 0, count: int = CELLS) -> Column:
     """The sketch of an array of digests: ``n`` (count), ``x`` (digests), ``c`` (check hashes)."""
     items = F.transform(
-        found, lambda x: F.struct(x.alias("x"), _mask(x, seed).alias("m"), _check(x).alias("c"))
+        found,
+        lambda x: F.struct(x.alias("x"), _mask(x, seed, count).alias("m"), _check(x).alias("c")),
     )
     empty = F.struct(
         F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("c")
@@ -106,7 +109,7 @@ def cells(found: Column, seed: int = 0) -> Column:
             ),
         )
 
-    places = F.sequence(F.lit(0), F.lit(CELLS - 1))
+    places = F.sequence(F.lit(0), F.lit(count - 1))
     return _let(items, lambda of: F.transform(places, cell(of)))
 
 
@@ -118,7 +121,7 @@ def subtract(left: Column, right: Column) -> Column:
     ))
 
 
-def peel(difference: Column, seed: int = 0) -> Column:
+def peel(difference: Column, seed: int = 0, count: int = CELLS) -> Column:
     """``got``, the digests recovered with the sign of their side, and ``ok``, whether all were."""
     start = F.struct(
         difference.alias("cells"), F.array().cast(_NONE).alias("got"), F.lit(False).alias("stuck")
@@ -131,7 +134,7 @@ def peel(difference: Column, seed: int = 0) -> Column:
         pure = F.array_distinct(F.transform(
             F.filter(state["cells"], single),
             lambda c: F.struct(c["x"].alias("x"), c["n"].alias("s"), c["c"].alias("c"),
-                               _mask(c["x"], seed).alias("m")),
+                               _mask(c["x"], seed, count).alias("m")),
         ))
 
         def without(taken: Column) -> Column:
@@ -212,10 +215,13 @@ def with_difference(rows: DataFrame, name: str, left: str, right: str) -> DataFr
         )
     )
     for seed in range(3, 4 + RETRIES):
-        difference = lambda p: subtract(cells(p["l"], seed), cells(p["r"], seed))  # noqa: B023,E731
+        sketch = partial(cells, seed=seed, count=DEALT_CELLS)
+        result = lambda p: peel(
+            subtract(sketch(p["l"]), sketch(p["r"])), seed, DEALT_CELLS  # noqa: B023
+        )
         rows = (
             rows.withColumn(peeled, F.transform(pairs, lambda p: F.struct(
-                p["l"].alias("l"), p["r"].alias("r"), peel(difference(p), seed).alias("p")  # noqa: B023
+                p["l"].alias("l"), p["r"].alias("r"), result(p).alias("p")  # noqa: B023
             )))
             .withColumn(name, F.concat(name, F.flatten(F.transform(
                 F.filter(peeled, lambda p: p["p"]["ok"]), lambda p: p["p"]["got"]

@@ -30,12 +30,19 @@ from boletim.operators.quality import (  # noqa: E402
 from boletim.plans.etl import run_pipeline  # noqa: E402
 from boletim.plans.queries import NAMED_QUERIES, media_global  # noqa: E402
 from boletim.plans.report import prepared  # noqa: E402
-from boletim.schemas import ALUNO, GRADE_RANGE, NOTA  # noqa: E402
+from boletim.schemas import (  # noqa: E402
+    ALUNO,
+    ENTITIES,
+    GRADE_RANGE,
+    NOTA,
+    processed_schema,
+)
 from boletim.sinks.load import CatalogTarget  # noqa: E402
-from boletim.sinks.parquet import write_processed  # noqa: E402
+from boletim.sinks.parquet import replace_layer, write_processed  # noqa: E402
 from boletim.sinks.tables import create_warehouse  # noqa: E402
-from boletim.sources.processed import read_processed  # noqa: E402
-from boletim.sources.raw import read_raw, write_raw  # noqa: E402
+from boletim.sources.catalog import register_dataset  # noqa: E402
+from boletim.sources.processed import processed_path, read_processed  # noqa: E402
+from boletim.sources.raw import raw_path, read_raw, write_raw  # noqa: E402
 from boletim.storage import shared_folder  # noqa: E402
 from boletim.streaming.ingest import ingest_new  # noqa: E402
 from boletim.warehouse import Warehouse, to_warehouse  # noqa: E402
@@ -127,11 +134,21 @@ def _pruned_nota(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.where(F.col("disciplina") == "Matemática")
 
 
-def _load_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Insert cleaned grades into a fresh warehouse table and read it back."""
+def _roundtrip_nota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = clean_notas(spark_view(spark, sf_dir, "notas"), RUN_TS)
+    return _parquet_roundtrip(spark, cleaned, "nota")
+
+
+def _new_database(spark: SparkSession) -> str:
     path = shared_folder(spark, "warehouse")
     db = "boletim_" + path.rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE {db} LOCATION '{path}'")
+    return db
+
+
+def _load_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert cleaned grades into a fresh warehouse table and read it back."""
+    db = _new_database(spark)
     create_warehouse(spark, db)
     cleaned = clean_notas(spark_view(spark, sf_dir, "notas"), RUN_TS)
     CatalogTarget(spark, db).append(to_warehouse(cleaned, "nota"), "nota")
@@ -147,6 +164,87 @@ def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_processed(spark, out, "nota")
 
 
+def _ingest_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One part of the grades by the batch job, then the other by ingest."""
+    raw, out = shared_folder(spark, "raw"), shared_folder(spark, "processed")
+    later = F.coalesce(F.pmod(F.xxhash64("aluno_id"), F.lit(3)) == 0, F.lit(False))
+    notas = spark_view(spark, sf_dir, "notas")
+    write_raw(notas.where(~later), raw, "notas")
+    source = read_raw(spark, raw, "notas")
+    replace_layer(spark, clean_notas(source, RUN_TS), out, "nota", source.inputFiles())
+    rest = shared_folder(spark, "raw")
+    write_raw(notas.where(later), rest, "notas")
+    added = read_raw(spark, rest, "notas").write.mode("append").option("header", True)
+    padding = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    added.options(**padding).csv(raw_path(raw, "notas"))
+    ingest_new(spark, raw, "notas", out, shared_folder(spark, "taken"), RUN_TS)
+    return read_processed(spark, out, "nota")
+
+
+def _registered(spark: SparkSession, sf_dir: str) -> str:
+    """A database over the processed layer, registered before and after a part is added."""
+    db, base = _new_database(spark), shared_folder(spark, "processed")
+    view = spark_view(spark, sf_dir, "notas")
+    write_processed(clean_escolas(spark_view(spark, sf_dir, "escolas"), RUN_TS), base, "escola")
+    write_processed(clean_alunos(spark_view(spark, sf_dir, "alunos"), RUN_TS), base, "aluno")
+    first = F.trim("disciplina") != "Matemática"
+    for part in (view.where(first), view):
+        write_processed(clean_notas(part, RUN_TS), base, "nota")
+        for name, e in ENTITIES.items():
+            columns = [e.partition_by] if e.partition_by else []
+            register_dataset(
+                spark, db, name, processed_path(base, name), "parquet",
+                processed_schema(name), columns,
+            )
+    return db
+
+
+def _register_nota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_registered(spark, sf_dir)}.nota")
+
+
+def _statistics_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question over grades that are stored as doubles behind a registered table."""
+    db, base = _new_database(spark), shared_folder(spark, "processed")
+    w = warehouse(spark, sf_dir)
+    for name, df in w.tables().items():
+        stamps = {
+            c: F.lit(RUN_TS).cast("timestamp_ntz")
+            for c in processed_schema(name).names if c not in df.columns
+        }
+        numbers = {"nota": F.col("nota").cast("double")} if name == "nota" else {}
+        write_processed(df.withColumns({**stamps, **numbers}), base, name)
+        e = ENTITIES[name]
+        register_dataset(
+            spark, db, name, processed_path(base, name), "parquet", processed_schema(name),
+            [e.partition_by] if e.partition_by else [],
+        )
+    return NAMED_QUERIES["estatisticas_disciplina"](Warehouse.from_catalog(spark, db))
+
+
+def _loads(spark: SparkSession, sf_dir: str) -> tuple[str, list]:
+    raw, db = _raw_layer(spark, sf_dir, "escolas", "alunos", "notas"), _new_database(spark)
+    create_warehouse(spark, db)
+    target = CatalogTarget(spark, db)
+    folder = shared_folder(spark, "processed")
+    return db, run_pipeline(spark, raw, folder, RUN_TS, target, on_error="log").loads
+
+
+def _load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(s.table, s.status) for s in _loads(spark, sf_dir)[1]]
+    return spark.createDataFrame(rows, "table string, status string")
+
+
+def _load_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose left-out columns the table has filled."""
+    db, _ = _loads(spark, sf_dir)
+    return spark.table(f"{db}.escola").select(
+        "escola_id",
+        F.col("created_at").isNotNull().alias("criada"),
+        F.col("updated_at").isNotNull().alias("alterada"),
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Mean grade and spread of every school, empty schools included."""
     w = warehouse(spark, "/root/testdata/sf0.001")
@@ -201,6 +299,12 @@ def queries() -> dict[str, Query]:
         "parquet_pruned_nota": _pruned_nota,
         "load_catalog_nota": _load_catalog,
         "ingest_notas": _ingest,
+        "ingest_after_batch": _ingest_after_batch,
+        "parquet_roundtrip_nota": _roundtrip_nota,
+        "register_nota": _register_nota,
+        "estatisticas_disciplina_catalog": _statistics_catalog,
+        "load_status": _load_status,
+        "load_defaults": _load_defaults,
         **LLM_QUERIES,
     }
 

@@ -14,7 +14,7 @@ MOMENTS = ("n", "soma", "quadrados", "menor", "maior")
 
 
 def tenths(value: str) -> Column:
-    return (F.col(value) * 10).cast("bigint")
+    return (F.col(value).cast("decimal(4,1)") * 10).cast("bigint")
 
 
 def moments(value: str = "nota", weight: str | None = None) -> list[Column]:

@@ -27,6 +27,7 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     target.add_argument("--catalog-db", help="load tables of this catalog database")
     target.add_argument("--jdbc-url", help="load tables of this database")
     parser.add_argument("--jdbc-user")
+    parser.add_argument("--jdbc-partitions", type=int, help="connections held at once")
     parser.add_argument("--jdbc-password-env", help="environment variable with the password")
     return parser.parse_args(argv)
 
@@ -39,6 +40,8 @@ def target_of(spark: SparkSession, args: argparse.Namespace) -> Target | None:
         login = {"user": args.jdbc_user} if args.jdbc_user else {}
         if args.jdbc_password_env:
             login["password"] = os.environ[args.jdbc_password_env]
+        if args.jdbc_partitions:
+            login["numPartitions"] = str(args.jdbc_partitions)
         return JdbcTarget(args.jdbc_url, login)
     return None
 

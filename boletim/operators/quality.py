@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boletim.schemas import ENTITIES, GRADE_RANGE, Entity
+from boletim.schemas import ENTITIES, GRADE_RANGE, INGESTION_COLUMN, Entity
 from boletim.warehouse import Warehouse
 
 
@@ -88,11 +88,13 @@ def check_decimal(df: DataFrame, table: str, key: Iterable[str], column: str, pr
     return _row_violations(df, table, key, [_decimal_rule(column, precision, scale)])
 
 
-def check_unique(df: DataFrame, table: str, key: Iterable[str]) -> DataFrame:
-    """Repeated keys, and keys with a NULL part; ``detail`` is the number of rows."""
-    key = list(key)
+def _counted(df: DataFrame, columns: Iterable[str], rows: Column | None = None) -> DataFrame:
+    total = F.count(F.lit(1)) if rows is None else F.sum(rows)
+    return df.groupBy(*columns).agg(total.alias("rows"))
+
+
+def _repeated(groups: DataFrame, table: str, key: list[str]) -> DataFrame:
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
-    groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"))
     return groups.where(missing | (F.col("rows") > 1)).select(
         F.lit(table).alias("table"),
         F.lit("unique").alias("rule"),
@@ -101,39 +103,67 @@ def check_unique(df: DataFrame, table: str, key: Iterable[str]) -> DataFrame:
     )
 
 
+def _orphans(values: DataFrame, table: str, column: str, known: DataFrame) -> DataFrame:
+    """``values`` are counted by ``column``, ``known`` holds a ``value`` each once."""
+    held = values.where(F.col(column).isNotNull())
+    return held.join(known, held[column] == known["value"], "left_anti").select(
+        F.lit(table).alias("table"),
+        F.lit("foreign_key").alias("rule"),
+        F.col(column).alias("key"),
+        F.col("rows").cast("string").alias("detail"),
+    )
+
+
+def check_unique(df: DataFrame, table: str, key: Iterable[str]) -> DataFrame:
+    """Repeated keys, and keys with a NULL part; ``detail`` is the number of rows."""
+    key = list(key)
+    return _repeated(_counted(df, key), table, key)
+
+
 def check_fk(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str):
     """Values of ``column`` without a parent row; ``detail`` is the number of rows.
 
     Both sides are reduced to one row per key first, and that exchange also serves the join.
     """
-    values = child.where(F.col(column).isNotNull())
-    values = values.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
     known = parent.select(F.col(parent_column).alias("value")).distinct()
-    return values.join(known, "value", "left_anti").select(
-        F.lit(table).alias("table"),
-        F.lit("foreign_key").alias("rule"),
-        F.col("value").alias("key"),
-        F.col("rows").cast("string").alias("detail"),
-    )
+    values = _counted(child.where(F.col(column).isNotNull()), [column])
+    return _orphans(values, table, column, known)
 
 
 def check_rows(df: DataFrame, e: Entity) -> DataFrame:
-    """Every row rule of a table in one scan."""
-    rules = _not_null_rules(e.column_names) + _length_rules(e.lengths)
+    """Every row rule of a table in one scan. A table without ingestion time is not held to it."""
+    stamp = [INGESTION_COLUMN] if INGESTION_COLUMN in df.columns else []
+    rules = _not_null_rules([*e.column_names, *stamp]) + _length_rules(e.lengths)
     if e.name == "nota":
         rules += [_range_rule("nota", *GRADE_RANGE), _decimal_rule("nota", 4, 1)]
     return _row_violations(df, e.name, e.key, rules)
 
 
+def _key_groups(df: DataFrame, e: Entity) -> DataFrame:
+    """Rows per key and reference, from which both are checked: one scan and one exchange."""
+    reference = [e.reference.column] if e.reference else []
+    return _counted(df, dict.fromkeys([*e.key, *reference]))
+
+
 def check_table(tables: dict[str, DataFrame], name: str) -> DataFrame:
-    """All constraints of one table; ``tables`` must hold its parent too."""
+    """All constraints of one table; ``tables`` must hold its parent too.
+
+    Keys and references are counted from the same groups, and a parent's known keys come from its
+    own, so a table is scanned twice: for its rows and for its groups.
+    """
     e = ENTITIES[name]
     df = tables[name]
-    found = check_rows(df, e).unionByName(check_unique(df, e.name, e.key))
+    groups = _key_groups(df, e)
+    per_key = _counted(groups, e.key, F.col("rows"))
+    found = check_rows(df, e).unionByName(_repeated(per_key, e.name, list(e.key)))
     if e.reference:
         r = e.reference
-        fk = check_fk(df, e.name, r.column, tables[r.parent], r.parent_column)
-        found = found.unionByName(fk)
+        values = _counted(groups, [r.column], F.col("rows"))
+        parents = _key_groups(tables[r.parent], ENTITIES[r.parent])
+        # The counts are kept in use, so that the parent's exchange is the one made before.
+        held = _counted(parents, [r.parent_column], F.col("rows")).where("rows > 0")
+        known = held.select(F.col(r.parent_column).alias("value"))
+        found = found.unionByName(_orphans(values, e.name, r.column, known))
     return found
 
 

@@ -87,8 +87,9 @@ def group_moments(w: Warehouse, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(*entity_counts(), *combine_moments("peso"))
 
 
-def grades_per_network(w: Warehouse) -> DataFrame:
-    """``disciplina, rede, nota, peso``: placed grades by subject, network and value.
+def grades_per_network(w: Warehouse, keys: tuple[str, ...] = ("disciplina", "rede")) -> DataFrame:
+    """``keys, nota, peso``: placed grades by ``keys`` and value; without the subject among them,
+    no subject text comes to the join.
 
     Grades come to the join unaggregated, since the result still needs their values; a student
     with very many of them is split by adaptive skew handling, the other side being one row per
@@ -96,11 +97,13 @@ def grades_per_network(w: Warehouse) -> DataFrame:
     """
     students = _students_of_networks(w)
     placed = w.nota.join(students, w.nota["aluno_id"] == students["id"])
-    return placed.groupBy("disciplina", "rede", "nota").agg(F.sum("peso").alias("peso"))
+    return placed.groupBy(*keys, "nota").agg(F.sum("peso").alias("peso"))
 
 
-def network_values(w: Warehouse) -> DataFrame:
-    return grades_per_network(w) if w.per_network is None else w.per_network
+def network_values(
+    w: Warehouse, keys: tuple[str, ...] = ("disciplina", "rede")
+) -> DataFrame:
+    return grades_per_network(w, keys) if w.per_network is None else w.per_network
 
 
 def _students_of_networks(w: Warehouse) -> DataFrame:
@@ -114,7 +117,7 @@ def network_rows(w: Warehouse) -> DataFrame:
     # of students is computed once and used by both.
     students = _students_of_networks(w).groupBy("rede")
     students = students.agg(F.count_if(F.col("peso") > 0).alias("alunos"))
-    grades = network_values(w).select("rede", "nota", "peso")
+    grades = network_values(w, ("rede",)).select("rede", "nota", "peso")
     return schools.unionByName(students, allowMissingColumns=True).unionByName(
         grades, allowMissingColumns=True
     )

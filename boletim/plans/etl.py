@@ -6,7 +6,7 @@ import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from boletim.operators.clean import CLEANERS
 from boletim.schemas import ENTITIES
 from boletim.sinks.load import LoadStatus, Target, load_warehouse
-from boletim.sinks.parquet import write_processed
+from boletim.sinks.parquet import replace_layer
 from boletim.sources.processed import read_processed
 from boletim.sources.raw import read_raw
 from boletim.warehouse import to_warehouse
@@ -41,38 +41,21 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_counts(spark: SparkSession, raw: str, processed: str) -> DataFrame:
-    """Rows read and rows written, per dataset.
+    """Rows read and rows written, per dataset, as they are now.
 
     Counted from the files rather than while writing, where a retried task would count twice.
+    Cleaning drops grades only, so of the raw files only theirs are counted.
     """
-    read = row_counts({n: read_raw(spark, raw, n) for n in ENTITIES})
-    written = row_counts({n: read_processed(spark, processed, n) for n in ENTITIES})
-    return (
-        read.withColumnRenamed("linhas", "lidas")
-        .join(written.withColumnRenamed("linhas", "gravadas"), "dataset")
-        .select("dataset", "lidas", "gravadas")
-    )
+    tables = {n: read_processed(spark, processed, n) for n in ENTITIES}
+    tables["raw"] = read_raw(spark, raw, "nota")
+    found = {r["dataset"]: r["linhas"] for r in row_counts(tables).collect()}
+    rows = [(n, found["raw"] if n == "nota" else found[n], found[n]) for n in ENTITIES]
+    return spark.createDataFrame(rows, "dataset string, lidas bigint, gravadas bigint")
 
 
-def clean_raw(spark: SparkSession, raw: str, name: str, run_ts: datetime) -> DataFrame:
-    return CLEANERS[name](read_raw(spark, raw, name), run_ts)
-
-
-def load_input(
-    spark: SparkSession, raw: str, processed: str, name: str, run_ts: datetime
-) -> DataFrame:
-    """Warehouse rows of one dataset, taken from the Parquet layer.
-
-    Empty text in a partition column comes back from Parquet as NULL. If there is such a
-    partition, its rows are taken from the raw files again; otherwise those are not touched.
-    """
-    df = read_processed(spark, processed, name)
-    column = ENTITIES[name].partition_by
-    if column and not df.where(F.col(column).isNull()).isEmpty():
-        cleaned = clean_raw(spark, raw, name, run_ts).select(df.columns)
-        blank = cleaned.where(F.coalesce(F.col(column), F.lit("")) == "")
-        df = df.where(F.col(column).isNotNull()).unionByName(blank)
-    return to_warehouse(df, name)
+def load_input(spark: SparkSession, processed: str, name: str) -> DataFrame:
+    """Warehouse rows of one dataset, taken from the Parquet layer."""
+    return to_warehouse(read_processed(spark, processed, name), name)
 
 
 def run_pipeline(
@@ -85,14 +68,17 @@ def run_pipeline(
 ) -> Summary:
     """Clean and store the three datasets, then load them if a ``warehouse`` is given.
 
-    The raw text is read once for the write; what follows reads Parquet. With
+    The raw text is read for the write, and that of the grades once more for their count; what
+    follows reads Parquet. A run replaces the Parquet layer, ingested batches included. With
     ``on_error="log"`` a failed load leaves the Parquet layer and the job's success in place.
     """
     for name in ENTITIES:
-        write_processed(clean_raw(spark, raw, name, run_ts), processed, name)
+        source = read_raw(spark, raw, name)
+        cleaned = CLEANERS[name](source, run_ts)
+        replace_layer(spark, cleaned, processed, name, source.inputFiles())
         log.info("%s written", name)
     loads: list[LoadStatus] = []
     if warehouse is not None:
-        tables = {n: load_input(spark, raw, processed, n, run_ts) for n in ENTITIES}
+        tables = {n: partial(load_input, spark, processed, n) for n in ENTITIES}
         loads = load_warehouse(tables, warehouse, on_error)
     return Summary(run_counts(spark, raw, processed), loads)

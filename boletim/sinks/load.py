@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Literal, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boletim.operators.quality import check_fk, check_rows, check_unique, violation_counts
 from boletim.schemas import AUDIT_COLUMNS, ENTITIES
@@ -23,6 +24,9 @@ POSTGRES_PROPERTIES = {
 }
 
 
+JDBC_PARTITIONS = 16
+
+
 class ConstraintError(ValueError):
     """A batch breaks a table's constraints."""
 
@@ -38,17 +42,22 @@ class Target(Protocol):
     """Somewhere to append warehouse rows."""
 
     def existing(self, name: str) -> DataFrame | None:
-        """Rows already stored, or None if the target checks keys against them itself."""
+        """Rows already stored, or None if the target checks keys and references itself."""
 
     def append(self, df: DataFrame, name: str) -> None: ...
 
 
 def load_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str]) -> None:
-    """Append over JDBC. ``numPartitions`` bounds the connections held at once."""
-    defaults = {"numPartitions": "16", "batchsize": "10000"}
+    """Append over JDBC. ``numPartitions`` bounds the connections held at once.
+
+    Rows are dealt to that many tasks first, so that it does not bound the scan behind them.
+    """
+    defaults = {"numPartitions": str(JDBC_PARTITIONS), "batchsize": "10000"}
     if url.startswith("jdbc:postgresql:"):
         defaults |= POSTGRES_PROPERTIES
-    df.write.jdbc(url=url, table=table, mode="append", properties={**defaults, **properties})
+    options = {**defaults, **properties}
+    dealt = df.repartition(int(options["numPartitions"]))
+    dealt.write.jdbc(url=url, table=table, mode="append", properties=options)
 
 
 @dataclass(frozen=True)
@@ -82,20 +91,26 @@ class CatalogTarget:
 
 
 def batch_violations(tables: Mapping[str, DataFrame], name: str, target: Target) -> DataFrame:
-    """Constraint violations of one table's batch, seen together with the rows already stored."""
+    """Constraint violations of one table's batch, seen together with the rows already stored.
+
+    Stored rows are cut to the batch's own keys before anything is grouped. A target that checks
+    keys itself is left the references, whose rows it may hold; keys within the batch are checked.
+    """
     e = ENTITIES[name]
     batch = tables[name]
     stored = target.existing(name)
     keys = batch.select(*e.key)
     if stored is not None:
-        keys = keys.unionByName(stored.select(*e.key))
+        again = stored.select(*e.key).join(keys.distinct(), list(e.key), "left_semi")
+        keys = keys.unionByName(again)
     checks = [check_rows(batch, e), check_unique(keys, e.name, e.key)]
-    if e.reference:
+    known = target.existing(e.reference.parent) if e.reference else None
+    if known is not None:
         r = e.reference
-        parents = tables[r.parent].select(r.parent_column)
-        known = target.existing(r.parent)
-        if known is not None:
-            parents = parents.unionByName(known.select(r.parent_column))
+        wanted = batch.select(F.col(r.column).alias(r.parent_column)).distinct()
+        parents = tables[r.parent].select(r.parent_column).unionByName(
+            known.select(r.parent_column).join(wanted, r.parent_column, "left_semi")
+        )
         checks.append(check_fk(batch, e.name, r.column, parents, r.parent_column))
     return reduce(DataFrame.unionByName, checks)
 
@@ -108,26 +123,29 @@ def _require_valid(tables: Mapping[str, DataFrame], name: str, target: Target) -
 
 
 def load_warehouse(
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
     target: Target,
     on_error: Literal["raise", "log"] = "raise",
     check: bool = True,
 ) -> list[LoadStatus]:
     """Append the three tables in reference order.
 
-    A table is written only if its whole batch passes the checks, so a bad row does not leave it
-    half loaded. With ``on_error="log"`` a failure is logged, later tables are skipped and the
+    A table, or the function that makes it, is written only if its whole batch passes the checks.
+    With ``on_error="log"`` a failure is logged, later tables are skipped and the
     caller goes on.
     """
     done: list[LoadStatus] = []
+    made: dict[str, DataFrame] = {}
     for name in ENTITIES:
         if any(s.status == "failed" for s in done):
             done.append(LoadStatus(name, "skipped"))
             continue
         try:
+            table = tables[name]
+            made[name] = table() if callable(table) else table
             if check:
-                _require_valid(tables, name, target)
-            target.append(tables[name].drop(*AUDIT_COLUMNS), name)
+                _require_valid(made, name, target)
+            target.append(made[name].drop(*AUDIT_COLUMNS), name)
             done.append(LoadStatus(name, "loaded"))
         except Exception as error:
             if on_error == "raise":

@@ -2,23 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from boletim.schemas import entity, processed_schema
-from boletim.sources.processed import processed_path
+from boletim.sources.processed import (
+    BATCH_COLUMN,
+    ingested_path,
+    processed_path,
+    taken_path,
+    with_blank_paths,
+)
 
 
 def write_processed(df: DataFrame, base: str, name: str) -> None:
     """Write one cleaned dataset, partitioned by its region or subject column if it has one.
 
+    The write replaces the batch folder; what was ingested before stays beside it.
     Partitioned data is rebalanced by that column first: each task then writes one directory
     rather than every task all of them, and a directory with most of the rows is split over many
     tasks at the advisory partition size. Unpartitioned data is written as it was read.
     """
+    overwrite(df, name, processed_path(base, name))
+
+
+def overwrite(df: DataFrame, name: str, path: str) -> None:
+    """Replace a folder by the rows of ``df``, laid out as the dataset is."""
     column = entity(name).partition_by
-    out = df.select(processed_schema(name).names)
+    out = with_blank_paths(df.select(processed_schema(name).names), name)
     if column:
         writer = out.hint("rebalance", column).write.partitionBy(column)
     else:
         writer = out.write
-    writer.mode("overwrite").parquet(processed_path(base, name))
+    writer.mode("overwrite").parquet(path)
+
+
+def replace_layer(spark: SparkSession, df: DataFrame, base: str, name: str, files: list[str]):
+    """The batch job's write: it replaces what was ingested too, and notes the files it has read.
+
+    ``df`` must hold all raw files. A run that ends in between is put right by the next.
+    """
+    write_processed(df, base, name)
+    taken = spark.createDataFrame([(f,) for f in files], "file string")
+    taken.coalesce(1).write.mode("overwrite").parquet(taken_path(base, name))
+    columns = [*processed_schema(name).fields, T.StructField(BATCH_COLUMN, T.StringType())]
+    nothing = spark.createDataFrame([], T.StructType(columns))
+    nothing.write.mode("overwrite").partitionBy(BATCH_COLUMN).parquet(ingested_path(base, name))

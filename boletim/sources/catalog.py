@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import re
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from typing import Literal
@@ -13,11 +15,14 @@ from pyspark.sql import types as T
 
 from boletim.schemas import ENTITIES, processed_schema, raw_schema
 from boletim.sources.processed import processed_path
-from boletim.sources.raw import raw_path
+from boletim.sources.raw import header_of, raw_path
 
 log = logging.getLogger(__name__)
 
-READ_OPTIONS = {"csv": {"header": "true"}, "parquet": {"mergeSchema": "true"}}
+READ_OPTIONS = {
+    "csv": {"header": "true", "enforceSchema": "false"},
+    "parquet": {"mergeSchema": "true"},
+}
 
 
 @dataclass(frozen=True)
@@ -44,6 +49,31 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in columns if c.isPartition]
 
 
+def _own_external(spark: SparkSession, table: str, path: str) -> None:
+    """Raise unless the table is external and lies over ``path``."""
+    wanted = {"Type", "Location"}
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name").isin(*wanted))
+    about = {r["col_name"]: r["data_type"] for r in rows.collect()}
+    if about.get("Type") != "EXTERNAL":
+        raise ValueError(f"{table} is {about.get('Type')}, not an external table")
+    here, there = (re.sub("^file:/*", "/", p.rstrip("/")) for p in (path, about["Location"]))
+    if here != there:
+        raise ValueError(f"{table} lies over {about['Location']}, not {path}")
+
+
+def _redefine(spark, table, path, fmt, schema, partition_by) -> None:
+    """Give an external table another schema; the new definition is made and read first."""
+    trial = f"{table}_{uuid.uuid4().hex}"
+    _create(spark, trial, path, fmt, schema, partition_by)
+    try:
+        _ = spark.table(trial).schema
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {trial} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {trial}")
+        raise
+
+
 def _create(spark, table, path, fmt, schema, partition_by) -> None:
     options = "".join(f", {k} '{v}'" for k, v in READ_OPTIONS.get(fmt, {}).items())
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
@@ -76,6 +106,7 @@ def register_dataset(
 ) -> Registration:
     """Create or refresh an external table over ``path``; no data is moved or removed.
 
+    A table of that name that is managed, or lies elsewhere, is refused.
     Without ``schema`` it is read from the files. New columns are added to an existing table, and
     a changed type redefines it, unless ``on_change`` is "log". Columns that are gone stay and are
     logged. New partitions are always added; ``on_delete="delete"`` also drops missing ones.
@@ -88,6 +119,7 @@ def register_dataset(
         _sync_partitions(spark, table, on_delete)
         return Registration(table, created=True)
 
+    _own_external(spark, table, path)
     current = {f.name: f.dataType for f in spark.table(table).schema}
     offered = {f.name: f.dataType for f in found}
     partitions = _partition_columns(spark, table)
@@ -104,8 +136,7 @@ def register_dataset(
         merged = {c: current[c] if c in partitions else offered.get(c, current[c]) for c in current}
         merged |= {c: offered[c] for c in added}
         fields = [T.StructField(c, t) for c, t in merged.items()]
-        spark.sql(f"DROP TABLE {table}")
-        _create(spark, table, path, fmt, T.StructType(fields), partitions)
+        _redefine(spark, table, path, fmt, T.StructType(fields), partitions)
     elif on_change == "update" and added:
         columns = ", ".join(f"`{c}` {offered[c].simpleString()}" for c in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
@@ -121,12 +152,17 @@ def register_layers(
     raw_db: str = "raw_data",
     processed_db: str = "processed_data",
 ) -> list[Registration]:
-    """Register the raw and the processed folder of every entity, with the declared schemas."""
+    """Register the raw and the processed folder of every entity, with the declared schemas.
+
+    Raw columns are declared in the order of the files' header; files with another order fail when
+    read.
+    """
     done = []
     for name, e in ENTITIES.items():
         done.append(
             register_dataset(
-                spark, raw_db, e.raw_name, raw_path(raw, name), "csv", raw_schema(name)
+                spark, raw_db, e.raw_name, raw_path(raw, name), "csv",
+                T.StructType([raw_schema(name)[c] for c in header_of(spark, raw, name)]),
             )
         )
         partition_by = [e.partition_by] if e.partition_by else []

@@ -1,17 +1,65 @@
-"""Processed layer: cleaned Parquet, partitioned by region (schools) and subject (grades)."""
+"""Processed layer: cleaned Parquet, partitioned by region (schools) and subject (grades).
+
+A dataset has two folders: what the batch job wrote, and what incremental ingest has added since.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from boletim.schemas import entity, processed_schema
 
+# Empty text in a partition column, which a path would turn into NULL.
+BLANK = "__BLANK__"
+BATCH_COLUMN = "ingest_batch"
+
 
 def processed_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{entity(name).name}"
 
 
+def ingested_path(base: str, name: str) -> str:
+    """One folder per ingested batch."""
+    return f"{base.rstrip('/')}/ingested/{entity(name).name}"
+
+
+def taken_path(base: str, name: str) -> str:
+    """The raw files that the batch job has read."""
+    return f"{base.rstrip('/')}/taken/{entity(name).name}"
+
+
+def _mapped(df: DataFrame, name: str, value: Column, out: Column) -> DataFrame:
+    column = entity(name).partition_by
+    if not column:
+        return df
+    return df.withColumn(column, F.when(F.col(column) == value, out).otherwise(F.col(column)))
+
+
+def with_blank_paths(df: DataFrame, name: str) -> DataFrame:
+    """Empty text of the partition column in the form that a path keeps."""
+    return _mapped(df, name, F.lit(""), F.lit(BLANK))
+
+
+def with_blank_text(df: DataFrame, name: str) -> DataFrame:
+    return _mapped(df, name, F.lit(BLANK), F.lit(""))
+
+
 def read_processed(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Read back with the declared schema: partition values stay text and keep their place."""
+    """Read both folders back with the declared schema: partition values stay text."""
     schema = processed_schema(name)
-    return spark.read.schema(schema).parquet(processed_path(base, name)).select(schema.names)
+    df = None
+    for path, extra in ((processed_path(base, name), []), (ingested_path(base, name), [BATCH_COLUMN])):
+        whole = T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in extra)])
+        try:
+            part = spark.read.schema(whole).parquet(path).select(schema.names)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        df = part if df is None else df.unionByName(part)
+    if df is None:
+        raise FileNotFoundError(f"no processed data of {name} in {base}")
+    return with_blank_text(df, name)

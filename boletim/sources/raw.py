@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 from boletim.schemas import entity
 
@@ -22,6 +23,18 @@ def read_raw(spark: SparkSession, base: str, name: str, infer: bool = False) ->
     return df.select(entity(name).column_names)
 
 
+def header_of(spark: SparkSession, base: str, name: str) -> list[str]:
+    """Columns of the raw files in the order of their header; the declared order without files."""
+    reader = spark.read.option("header", True)
+    try:
+        found = reader.csv(raw_path(base, name)).columns
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        found = []
+    return found or entity(name).column_names
+
+
 def write_raw(df: DataFrame, base: str, name: str) -> None:
     """Write one raw dataset, full overwrite; padding of the text is kept."""
     padding = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}

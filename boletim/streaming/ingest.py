@@ -3,38 +3,65 @@
 from __future__ import annotations
 
 from datetime import datetime
+from zlib import crc32
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from boletim.operators.clean import CLEANERS
-from boletim.schemas import entity, processed_schema, raw_schema
-from boletim.sources.processed import processed_path
-from boletim.sources.raw import raw_path
+from boletim.schemas import entity
+from boletim.sinks.parquet import overwrite
+from boletim.sources.processed import BATCH_COLUMN, ingested_path, taken_path
+from boletim.sources.raw import header_of, raw_path
+
+
+def _path(column: str) -> Column:
+    """A file's path, with local files written one way."""
+    return F.regexp_replace(column, "^file:/+", "file:/")
+
+
+def _taken(spark: SparkSession, out: str, name: str) -> DataFrame:
+    try:
+        files = spark.read.schema("file string").parquet(taken_path(out, name))
+        return files.select(_path("file").alias("file"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file string")
 
 
 def ingest_new(
     spark: SparkSession, base: str, name: str, out: str, checkpoint: str, run_ts: datetime
 ) -> None:
-    """Clean the raw files not seen before and append them to the Parquet layer.
+    """Clean the raw files not seen before and add them to the Parquet layer.
 
-    ``checkpoint`` records what was taken and must outlive the job, on shared storage. Cleaning
-    keeps no state, so there is no watermark. Returns when the files present are done.
+    ``checkpoint`` records what was taken and must outlive the job, on shared storage. Files that
+    the batch job has read are left out, by their path. Every batch of the stream has a folder of
+    its own, which a replay overwrites. Columns go by the header, which must be the same in all
+    files. Cleaning keeps no state, so there is no watermark. Returns when the files present are
+    done.
     """
     e = entity(name)
+    header = T.StructType([T.StructField(c, T.StringType()) for c in header_of(spark, base, name)])
     raw = (
-        spark.readStream.schema(raw_schema(name))
+        spark.readStream.schema(header)
         .option("header", True)
         .option("enforceSchema", False)
         .csv(raw_path(base, name))
     )
-    cleaned = CLEANERS[e.name](raw, run_ts).select(processed_schema(name).names)
+    stream = f"{crc32(checkpoint.encode()):08x}"
+
+    def add(batch: DataFrame, number: int) -> None:
+        fresh = batch.join(_taken(batch.sparkSession, out, name), "file", "left_anti")
+        cleaned = CLEANERS[e.name](fresh.select(e.column_names), run_ts)
+        overwrite(cleaned, name, f"{ingested_path(out, name)}/{BATCH_COLUMN}={stream}-{number}")
+
     writer = (
-        cleaned.writeStream.format("parquet")
-        .outputMode("append")
+        raw.withColumn("file", _path("_metadata.file_path"))
+        .writeStream.foreachBatch(add)
         .trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .option("path", processed_path(out, name))
     )
-    if e.partition_by:
-        writer = writer.partitionBy(e.partition_by)
     writer.start().awaitTermination()

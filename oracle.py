@@ -172,9 +172,6 @@ QUALITY = {
         {_DQ_UNIQUE} UNION ALL {_DQ_FK_NOTA} UNION ALL {_DQ_FK_ALUNO}""",
 }
 
-_ROUND_TRIP = f"""{duckdb_ctes("escolas")} SELECT * REPLACE (nullif(regiao, '') AS regiao)
-    FROM ({_CLEAN_ESCOLAS})"""
-
 STORAGE = {
     "run_summary": f"""{duckdb_ctes("escolas", "alunos", "notas")}
         SELECT 'escola' AS dataset, count(*) AS lidas, count(*) AS gravadas FROM escolas
@@ -182,10 +179,22 @@ STORAGE = {
         UNION ALL SELECT 'nota', count(*),
         count(*) FILTER (coalesce(TRY_CAST(nota AS DOUBLE) BETWEEN 0 AND 10, false)) FROM notas""",
     "csv_roundtrip_notas": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
-    "parquet_roundtrip_escola": _ROUND_TRIP,
+    "parquet_roundtrip_escola": f"{duckdb_ctes('escolas')} {_CLEAN_ESCOLAS}",
+    "parquet_roundtrip_nota": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
     "parquet_roundtrip_aluno": f"{duckdb_ctes('alunos')} {_CLEAN_ALUNOS}",
     "parquet_pruned_nota": f"""{duckdb_ctes("notas")}
         SELECT * FROM ({_CLEAN_NOTAS}) WHERE disciplina = 'Matemática'""",
     "load_catalog_nota": f"{duckdb_ctes('notas')} {_LOADED_NOTAS}",
     "ingest_notas": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
+    "ingest_after_batch": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
+    "register_nota": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
+    "estatisticas_disciplina_catalog": NAMED["estatisticas_disciplina"],
+    "load_defaults": f"""{duckdb_ctes("escolas")}
+        SELECT escola_id, true AS criada, true AS alterada FROM ({_CLEAN_ESCOLAS})""",
+    "load_status": f"""{duckdb_ctes("escolas", "alunos")}
+        SELECT 'escola' AS "table", 'loaded' AS status UNION ALL
+        SELECT 'aluno', CASE WHEN EXISTS (SELECT 1 FROM alunos WHERE escola_id IS NOT NULL
+            AND escola_id NOT IN (SELECT escola_id FROM escolas)) THEN 'failed' ELSE 'loaded' END
+        UNION ALL SELECT 'nota', CASE WHEN EXISTS (SELECT 1 FROM alunos WHERE escola_id IS NOT NULL
+            AND escola_id NOT IN (SELECT escola_id FROM escolas)) THEN 'skipped' ELSE 'loaded' END""",
 }

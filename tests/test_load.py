@@ -95,7 +95,7 @@ def test_blank_region_is_loaded_as_text(spark, tmp_path):
     blank = RAW["escolas"] + "E3,Três,privada,   \n"
     raw, processed = write_raw_files(tmp_path, escolas=blank)
     run_pipeline(spark, raw, processed, RUN_TS)
-    loaded = load_input(spark, raw, processed, "escola", RUN_TS)
+    loaded = load_input(spark, processed, "escola")
     assert sorted(rows(loaded.select("escola_id", "regiao"))) == [
         ("E1", "Sul"), ("E2", "Norte"), ("E3", ""),
     ]
@@ -184,3 +184,41 @@ def test_own_sql_over_the_tables(spark, tmp_path):
     assert [(r["regiao"], float(r["p"]), r["c"]) for r in found.collect()] == [
         ("Norte", 0.3, 1), ("Sul", 10.0, 1),
     ]
+
+
+def test_references_are_left_to_a_database(spark):
+    """A grade of a student who is in the database already is no error of the batch."""
+    from boletim.sinks.load import batch_violations
+
+    grade = spark.sql(
+        "SELECT 'A9' AS aluno_id, 'Ing' AS disciplina, CAST(7 AS DECIMAL(4,1)) AS nota"
+    )
+    students = spark.sql("SELECT 'A1' AS id, 'x' AS nome, 1 AS idade, 'f' AS genero, 'E1' AS escola_id")
+    tables = {"escola": None, "aluno": students, "nota": grade}
+    target = JdbcTarget("jdbc:postgresql://db/x")
+    assert batch_violations(tables, "nota", target).isEmpty()
+    twice = {**tables, "nota": grade.union(grade)}
+    assert [r["rule"] for r in batch_violations(twice, "nota", target).collect()] == ["unique"]
+
+
+def test_missing_ingestion_time_blocks_the_load(spark, tmp_path, catalog):
+    school = spark.sql(
+        "SELECT 'E1' AS escola_id, 'Um' AS nome, 'x' AS rede, 'Sul' AS regiao,"
+        " CAST(NULL AS TIMESTAMP_NTZ) AS ingestion_time"
+    )
+    from boletim.sinks.load import load_warehouse
+
+    with pytest.raises(ConstraintError, match="not_null=1"):
+        load_warehouse({"escola": school, "aluno": None, "nota": None}, catalog)
+
+
+def test_stored_keys_are_cut_to_the_batch(spark, tmp_path, catalog):
+    from boletim.sinks.load import batch_violations
+
+    run_pipeline(spark, *write_raw_files(tmp_path), RUN_TS, catalog)
+    nota = spark.table("t_load.nota").limit(1)
+    found = batch_violations(
+        {n: spark.table(f"t_load.{n}") for n in ENTITIES} | {"nota": nota}, "nota", catalog
+    )
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and found.count() == 1

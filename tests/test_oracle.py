@@ -38,10 +38,11 @@ def _table(columns, data):
 
 
 def test_each_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    own = set(contract.queries()) - set(contract.LLM_QUERIES)
+    assert own == set(contract.oracle_sql()) - set(contract.LLM_SQL)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) - set(contract.LLM_SQL)))
 def test_matches_duckdb(spark, tables, name):
     df = contract.queries()[name](spark, SF_DIR)
     found = tables.execute(contract.oracle_sql()[name])

@@ -17,6 +17,7 @@ counting within tasks (``FREQUENT`` at most are told apart), the others are orde
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ FREQUENT = 1 << 18
 #: Copies within a task from which a shingle is counted, and the total from which it is frequent.
 COUNTED, COMMON = 3, 8
 #: Times that every class is compared with one leader before the rest is compared pair by pair.
-LEADERS = 4
+LEADERS = 3
 
 
 def _needed(size: int) -> int:
@@ -170,14 +171,22 @@ def _shared(entries: DataFrame) -> DataFrame:
 
 
 class _Store:
-    """Tables written once to the shared folder, so that no loop grows the plan behind it."""
+    """Tables written once to the shared folder, so that no loop grows the plan behind it.
+
+    What was shuffled for a table is of no use once it is written. Spark removes such files when it
+    finds the plan collected as garbage, so that is asked for after each write.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None):
         self.spark, self.folder = spark, folder or shared_folder(spark, "jaccard")
 
     def put(self, name: str, table: DataFrame) -> DataFrame:
+        schema = table.schema
         table.write.parquet(f"{self.folder}/{name}")
-        return self.spark.read.schema(table.schema).parquet(f"{self.folder}/{name}")
+        del table
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
 
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -253,6 +262,14 @@ def _labelled(items: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
 
 
+def _open(items: DataFrame) -> DataFrame:
+    """The entries of tokens that classes of different components share."""
+    tokens = items.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low <> high").select("token")
+    return items.join(tokens, "token", "left_semi")
+
+
 def _fits(one: str, other: str) -> Column:
     """Whether two sizes allow a link."""
     return 4 * F.least(one, other) >= 3 * F.greatest(one, other)
@@ -283,12 +300,8 @@ def _remaining_pairs(items: DataFrame) -> DataFrame:
     Of two sets that share ``n`` prefix tokens, the last at places ``i`` and ``j``, no more than
     ``n + min(size - place - 1)`` can be shared in all.
     """
-    mixed_tokens = items.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low <> high").select("token")
-    left = items.join(mixed_tokens, "token", "left_semi")
-    one = left.select("token", *(F.col(c).alias(f"a_{c}") for c in left.columns[1:]))
-    other = left.select("token", *(F.col(c).alias(f"b_{c}") for c in left.columns[1:]))
+    one = items.select("token", *(F.col(c).alias(f"a_{c}") for c in items.columns[1:]))
+    other = items.select("token", *(F.col(c).alias(f"b_{c}") for c in items.columns[1:]))
     met = one.join(other, "token").where(
         (F.col("a_class_id") < F.col("b_class_id"))
         & (F.col("a_component") != F.col("b_component"))
@@ -345,16 +358,21 @@ def join(
     items = store.put("items", _items(shared, classes))
     wanted = classes.join(items.select("class_id").distinct(), "class_id", "left_semi")
     sets = store.put("sets", _sets(texts, wanted))
-    labels, links, tried = None, None, None
+    labels, links, tried, changed = None, None, None, True
+    so_far = _labelled(items, labels)
     for step in range(LEADERS + 1):
-        so_far = _labelled(items, labels)
+        if step and changed:
+            # Tokens within one component are settled, and so are fewer with every step.
+            so_far = store.put(f"open-{step}", _open(_labelled(items, labels)))
+            items = so_far.drop("component")
         pairs = _leader_pairs(so_far, step) if step < LEADERS else _remaining_pairs(so_far)
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         found = store.put(f"verified-{step}", _linked(pairs, sets))
         tried = found if tried is None else tried.union(found)
         links = tried.where("linked").select("a", "b")
-        if found.where("linked").limit(1).count():
+        changed = found.where("linked").limit(1).count() > 0
+        if changed:
             labels = components(links, store, f"components-{step}")
     known = profiles.select("doc", "size", "class_id")
     placed = _labelled(known, labels).withColumnRenamed("component", "place")

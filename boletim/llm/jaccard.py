@@ -102,15 +102,17 @@ def _profiles(texts: DataFrame, order: Order) -> DataFrame:
             rows = []
             for found in shingle_sets(list(batch["text"])):
                 ids = (_class_id(found), _group_id(order.prefix(found), len(found)))
-                rows.append((len(found), *ids) if len(found) else (0, None, None))
-            out = pd.DataFrame(rows, columns=["size", "class_id", "group_id"], dtype="Int64")
+                rows.append((len(found), *ids) if len(found) else (0, 0, 0))
+            out = pd.DataFrame(rows, columns=["size", "class_id", "group_id"], dtype="int64")
             out.insert(0, "doc", batch["doc"].to_numpy())
             yield out
 
     kind = dict(texts.dtypes)["doc"]
-    return texts.withColumn("doc", F.col("doc").cast("string")).mapInPandas(
+    found = texts.withColumn("doc", F.col("doc").cast("string")).mapInPandas(
         profile, "doc string, size bigint, class_id bigint, group_id bigint"
-    ).withColumn("doc", F.col("doc").cast(kind))
+    )
+    held = {c: F.when(F.col("size") > 0, F.col(c)) for c in ("class_id", "group_id")}
+    return found.withColumns({"doc": F.col("doc").cast(kind), **held})
 
 
 def _group_id(prefix: np.ndarray, size: int) -> int:

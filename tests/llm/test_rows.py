@@ -1,0 +1,266 @@
+"""Row-wise operators against brute force, with awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from boletim.llm import chat, fingerprints, html, mixing, packing, tokens, urls
+from boletim.llm.common import tokenizer_file
+
+TEXTS = [
+    None, "", "   ", "one", "A b  c.\n\nA b  c.\nd", "é日本 <s> ▁▁x  ", "same text here", "same text here",
+    "word " * 3000, "0\x00\x1c'll <|endoftext|> ²½ İ",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i if i else None, t, "xx", ["b", None, "a"][i % 3], i) for i, t in enumerate(TEXTS)]
+    rows.append(rows[4])
+    return spark.createDataFrame(
+        rows, "doc_id bigint, text string, size string, source string, score bigint"
+    )
+
+
+def _paragraphs(text):
+    seen, out = Counter(), set()
+    for part in re.split(r"\n+|(?<=[.!?|])\s+", text):
+        if part.strip(" "):
+            out.add((part, seen[part]))
+            seen[part] += 1
+    return out
+
+
+def test_fingerprints(spark):
+    rng = random.Random(3)
+    lines = [f"line {i}." for i in range(40)]
+    texts = TEXTS[:-2] + ["\n".join(rng.choices(lines, k=rng.randint(1, 60))) for _ in range(25)]
+    rows = list(enumerate(texts)) + [(7, TEXTS[7])]
+    got = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    ordered = sorted((d, t or "") for d, t in rows)
+    want = []
+    for i, (d, text) in enumerate(ordered):
+        other = ordered[(i + 1) % len(ordered)][1]
+        quarter = len(text) // 4
+        changed = text[: len(text) - quarter] + other[:quarter]
+        a, b, c = map(_paragraphs, (text, changed, other))
+        near = [len(a & x) / len(a | x) if a | x else 1.0 for x in (b, c)]
+        digest = hashlib.sha256(changed.encode()).hexdigest()
+        want.append((d, len(text), digest, *(round(n, 9) for n in near)))
+    found = got.collect()
+    assert sorted(
+        (r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9))
+        for r in found
+    ) == sorted(want)
+    by_text = {}
+    for r in found:
+        by_text.setdefault(texts[r.doc_id] or "", set()).add(r.fingerprint)
+    assert all(len(v) == 1 for v in by_text.values())
+
+
+def test_peeling_recovers_the_digests(spark):
+    rows = spark.createDataFrame(
+        [(list(range(100, 160)), list(range(130, 145))), ([], []), ([1], [])],
+        "a array<bigint>, b array<bigint>",
+    )
+    for side in ("a", "b"):
+        rows = rows.selectExpr("*", f"struct({side} AS d) AS v_{side}")
+        sketch = fingerprints.cells(rows[side])
+        rows = rows.withColumn(f"v_{side}", rows[f"v_{side}"].withField("s", sketch))
+    got = fingerprints.with_difference(rows, "apart", "v_a", "v_b").collect()
+    for r in got:
+        assert {(x.x, x.s) for x in r.apart} == {(x, 1) for x in set(r.a) - set(r.b)} | {
+            (x, -1) for x in set(r.b) - set(r.a)
+        }
+
+
+def test_last_text_meets_the_first(spark):
+    rows = [(None, "n"), (5, "e"), (3, "c"), (-2, "a")]
+    got = fingerprints.with_next(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.text, r.next) for r in got.collect()} == {
+        ("n", "a"), ("a", "c"), ("c", "e"), ("e", "n")
+    }
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert fingerprints.fingerprints(empty).count() == 0
+
+
+URLS = [
+    (None, "", "", None), ("no scheme", "", "", None), ("http://", "", "", None),
+    ("http://A.Example.ORG/es/x?q#f", "a.example.org", "/es/x", "example.org/es/"),
+    ("http://example.org/en/12", "example.org", "/en/12", "example.org/en/1"),
+    ("http://example.org/en/2", "example.org", "/en/2", "org/"),
+    ("http://notexample.org?x=/es/", "notexample.org", "", None),
+    ("x://a.com/de/1\n2", "a.com", "/de/1\n2", "com/de/"), ("x://com/fr/", "com", "/fr/", "com/fr/"),
+    ("x://a.com/FR/1://b", "a.com", "/FR/1://b", None),
+]
+
+
+def test_urls(spark):
+    rows = [(i, u, "clash") for i, (u, *_) in enumerate(URLS)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, rule string")
+    got = {r.page_id: r for r in urls.judge(pages, urls.labelled_urls(spark)).collect()}
+    assert [(got[i].host, got[i].path, got[i].rule) for i in range(len(URLS))] == [
+        u[1:] for u in URLS
+    ]
+    assert got[3].verdict == got[7].verdict == "block" and got[8].verdict == "allow"
+
+
+def test_url_classifier_on_unseen_hosts(spark):
+    weights = urls.fit(urls.labelled_urls(spark))
+    cases = [(f"http://{front}{name}.example.com/en/{n}", bad) for n, (name, bad) in enumerate((
+        ("casino-club", 1), ("cheap-tablets-pills", 1), ("spam-mail", 1), ("adult-chat", 1),
+        ("thernd", 0), ("inkwell", 0), ("history-notes", 0), ("ondand", 0),
+    )) for front in ("", "www.", "blog.")]
+    df = spark.createDataFrame(cases, "url string, bad int")
+    found = urls.buckets(urls.host(df.url), urls.path(df.url))
+    rows = df.withColumn("p", urls.score(found, weights)).collect()
+    assert sum((r.p >= urls.BLOCK_AT) == bool(r.bad) for r in rows) >= 0.8 * len(rows)
+    nothing = spark.createDataFrame([], "url string, label int")
+    assert set(urls.fit(nothing)) == {0.0}
+
+
+def test_perspectives(spark):
+    rows = [
+        (1, 1, "ann", "Hi"), (1, 0, "system", "Be kind"), (1, 2, "bob", None), (1, 200, "ann", "é"),
+        (1, 1, "ann", "Hi"), (2, None, "", "x"), (3, 0, "system", "alone"), (None, 0, "cy", "z"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = chat.perspectives(df).collect()
+    by = {(r.conv_id, r.perspective): "" for r in got}
+    for r in sorted(got, key=lambda r: r.begin):
+        assert len(by[r.conv_id, r.perspective]) == r.begin
+        by[r.conv_id, r.perspective] += r.text
+    assert set(by) == {(1, "ann"), (1, "bob"), (2, "unknown"), (None, "cy")}
+    head, tail = "<|im_start|>", "<|im_end|>\n"
+    assert by[1, "bob"] == (
+        f"{head}system\nBe kind{tail}{head}user name=ann\nHi{tail}{head}assistant\n{tail}"
+        f"{head}user name=ann\né{tail}"
+    )
+    own = {(r.part): [r.text[m.begin : m.end] for m in r.mask] for r in got if r.perspective == "ann"}
+    assert own == {0: [f"Hi{tail}"], 3: [f"é{tail}"]}
+    assert chat.perspectives(df.limit(0)).count() == 0
+
+
+def test_token_counts(spark, docs):
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
+    got = sorted((r.n_bytes, r.n_tokens, r.over_limit) for r in tokens.token_counts(docs).collect())
+    texts = [t or "" for t in [*TEXTS, TEXTS[4]]]
+    counts = [(len(t.encode()), len(library.encode(t))) for t in texts]
+    assert got == sorted((b, n, n > 4096) for b, n in counts)
+    assert tokens.token_counts(docs.limit(0)).count() == 0
+
+
+def test_token_counter_on_random_text():
+    counter = tokens.PieceCounter(tokenizer_file("piece_bpe_32k.model"))
+    rng = random.Random(1)
+    texts = ["".join(rng.choices(" ▁\n\t'abthe,.é日\x00<s>😀", k=rng.randint(0, 25))) for _ in range(3000)]
+    assert counter.splits
+    assert counter.count(texts) == [len(x) for x in counter.library.encode(texts)]
+
+
+def test_packing(spark, docs, tmp_path):
+    got = packing.pack_documents(docs, folder=str(tmp_path / "pieces")).collect()
+    library = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    texts = [t or "" for t in [*TEXTS, TEXTS[4]]]
+    lengths = [len(library.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+    assert sum(r.length for r in got) == sum(lengths)
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert r.start == r.piece * packing.CAPACITY
+    for parts in bins.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= packing.CAPACITY
+    assert packing.pack(spark.read.parquet(str(tmp_path / "pieces")).limit(0)).count() == 0
+
+
+def test_word_encoder_on_random_text():
+    encoder = packing.WordEncoder(tokenizer_file("word_bpe_49k.json"))
+    rng = random.Random(2)
+    chars = " \n\x1c\x85\xa0\x00'stlld.é²½ªİıßẞ1,日Ǆ́K<|endoftext|>"
+    texts = ["".join(rng.choices(chars, k=rng.randint(0, 25))) for _ in range(4000)]
+    assert encoder.encode([*texts, "<|endoftext|> a"]) == [
+        encoder._ids(t) for t in [*texts, "<|endoftext|> a"]
+    ]
+
+
+def test_fullest_combination():
+    rng = random.Random(5)
+    for _ in range(200):
+        counts = {rng.randint(1, 30): rng.randint(1, 3) for _ in range(5)}
+        room = rng.randint(0, 60)
+        sums = {0}
+        for x, n in counts.items():
+            sums |= {s + x * k for s in sums for k in range(n + 1)}
+        chosen = packing.fullest(counts, room)
+        assert sum(x * n for x, n in chosen.items()) == max(s for s in sums if s <= room)
+        assert all(n <= counts[x] for x, n in chosen.items())
+
+
+def test_mixing(spark, docs):
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == len(TEXTS) + 1
+    for r in rows:
+        assert r.size == len(re.findall(r"[^\x20\x09-\x0D]+", r.doc.text or ""))
+        assert 0 <= r.copies <= 2 and r.target <= 2 * r.source_size
+    out = mixing.emit(mixing.mix(docs))
+    assert out.columns == docs.columns and out.count() == sum(r.copies for r in rows)
+    assert sorted(map(str, out.collect())) == sorted(map(str, mixing.emit(mixing.mix(docs)).collect()))
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_targets_are_reshared(spark):
+    sizes = {"a": 10, "b": 1000, "c": 300, None: 5}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size bigint")
+    got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+    names = ["a", "b", "c", None]
+    weight = dict(zip(names, (3, 1, 2, 3)))
+    want, rest, open_ = {}, 1.5 * sum(sizes.values()), set(names)
+    while True:
+        level = rest / sum(weight[n] for n in open_)
+        full = {n for n in open_ if level * weight[n] > 2 * sizes[n]}
+        if not full:
+            break
+        for n in full:
+            want[n] = 2 * sizes[n]
+            rest -= want[n]
+        open_ -= full
+    want |= {n: level * weight[n] for n in open_}
+    assert got == pytest.approx(want)
+
+
+def _page(nav, body):
+    return f"<html><head><title>t</title></head><body>{nav}{body}</body>"
+
+
+def test_extraction(spark):
+    promo = "<div><p>Read our other stories</p></div>"
+    pages = [
+        _page(f"<nav>{i}</nav>", f"<article><h1>T{i}</h1><p>a &amp; b<br>c{i}<p>next</p>{promo}"
+              "<p>same everywhere</p><div class='comments'><p>first!</p></div></article>"
+              "<footer>f</footer>")
+        for i in range(6)
+    ]
+    pages += [None, "", "<p>bare &eacute;", "<article><p>cut of", pages[0]]
+    rows = [(i, f"http://h.org/{i}", x, "clash") for i, x in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    got = {r.page_id: r for r in html.extract(df).collect()}
+    for i in range(6):
+        assert got[i].text == f"T{i}\n\na & b c{i}\n\nnext\n\nsame everywhere"
+    assert [got[i].text for i in range(6, 11)] == ["", "", "bare é", "cut of", got[0].text]
+    assert all(r.n_chars == len(r.text) for r in got.values())
+    elsewhere = df.where("page_id < 3")
+    assert "other stories" in html.extract(elsewhere).first().text
+    copies = df.where("page_id = 0").crossJoin(spark.range(9).selectExpr("id AS n"))
+    assert "other stories" in html.extract(copies.drop("n")).first().text
+    assert html.extract(df.limit(0)).count() == 0

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from boletim.llm import urls
 from boletim.llm.common import let_workers_import
+from boletim.storage import shared_folder
 
 #: Pages with different articles from which a subtree of a host is its template.
 TEMPLATE_PAGES = 5
@@ -61,6 +62,7 @@ class _Element:
     tag: str
     furniture: bool
     main: bool
+    holds_main: bool = False
     kept: list = field(default_factory=list)
 
 
@@ -101,9 +103,13 @@ class _Page(HTMLParser):
             self._close_implied(tag)
         up = self.stack[-1]
         named = dict(attrs)
-        main = up.main or tag in ("article", "main") or named.get("role") == "main"
+        begins = tag in ("article", "main") or named.get("role") == "main"
+        main = up.main or begins
         furniture = up.furniture or tag in _HIDDEN or self._is_furniture(tag, named, up.main)
         self.stack.append(_Element(tag, furniture, main))
+        if begins and not furniture:
+            for element in self.stack:
+                element.holds_main = True
 
     def _close_implied(self, tag: str) -> None:
         ended = _CLOSED_BY.get(tag, set()) | {"p"}
@@ -151,8 +157,13 @@ def _parsed(html: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
     page.finish()
     within = any(e.main and not e.furniture for _, around in page.blocks for e in around)
     shown = lambda e: page.hashes[id(e)][1]
-    # Of an article, only what is set apart in it may be template.
-    may = lambda e: not (e.main and (e.tag in _TEXT or e.tag not in _BLOCKS))
+
+    def may(e: _Element) -> bool:
+        """Whether a subtree may be a template: a block that is not around the article, nor a
+        paragraph or heading in it."""
+        text = e.main and e.tag in _TEXT
+        return e.tag in _BLOCKS and not (e.holds_main or text or e.tag == "body")
+
     blocks = [
         (text, [shown(e) for e in around if may(e)])
         for text, around in page.blocks
@@ -161,42 +172,47 @@ def _parsed(html: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:
     article = xxhash.xxh64_intdigest(
         "\n".join(t for t, _ in blocks).encode("utf-8", "surrogatepass")
     )
-    subtrees = {h for e, h in page.hashes.values() if may(e) and e.tag not in _HIDDEN}
+    subtrees = {h for e, h in page.hashes.values() if may(e)}
     return blocks, sorted(subtrees), article - (article >> 63 << 64)
 
 
 def _subtrees(pages: DataFrame) -> DataFrame:
-    """``host, page, subtree, article`` of every subtree that may be a template."""
+    """``host, page, article, subtrees``: what may be a template of each page, as hashes."""
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
-                (host, page, subtree, article)
+                (host, page, article, subtrees)
                 for host, page, html in zip(batch["host"], batch["page"], batch["html"])
                 for _, subtrees, article in [_parsed(html)]
-                for subtree in subtrees
             ]
-            yield pd.DataFrame(rows, columns=["host", "page", "subtree", "article"])
+            yield pd.DataFrame(rows, columns=["host", "page", "article", "subtrees"])
 
     return pages.select("host", "page", "html").mapInPandas(
-        hashed, "host string, page bigint, subtree bigint, article bigint"
+        hashed, "host bigint, page bigint, article bigint, subtrees array<bigint>"
     )
 
 
-def templates(pages: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
-    """``host, page, gone``: the template subtrees of every page that has some.
+def templates(
+    pages: DataFrame, least: int = TEMPLATE_PAGES, folder: str | None = None
+) -> DataFrame:
+    """``page, gone``: the template subtrees of every page that has some.
 
-    ``pages`` have ``host``, ``page`` (a hash of the html) and ``html``. A host or subtree with very
-    many pages is counted on the map side first.
+    ``pages`` have ``host`` (a hash of it), ``page`` (a hash of host and html) and ``html``.
+    Their subtrees are hashed once and written to ``folder`` in the shared space. A host or subtree
+    with very many pages is counted on the map side first.
     """
-    subtrees = _subtrees(pages)
+    spark = pages.sparkSession
+    folder = folder or shared_folder(spark, "subtrees")
+    _subtrees(pages).write.parquet(folder)
+    subtrees = spark.read.parquet(folder).withColumn("subtree", F.explode("subtrees"))
     recurring = (
         subtrees.select("host", "subtree", "article").distinct()
         .groupBy("host", "subtree").agg(F.count("*").alias("pages"))
         .where(F.col("pages") >= least)
     )
-    return subtrees.join(recurring, ["host", "subtree"]).groupBy("host", "page").agg(
-        F.collect_set("subtree").alias("gone")
-    )
+    return subtrees.select("host", "subtree", "page").join(recurring, ["host", "subtree"]).groupBy(
+        "page"
+    ).agg(F.collect_set("subtree").alias("gone"))
 
 
 def extract(
@@ -205,6 +221,7 @@ def extract(
     url: str = "url",
     html: str = "html",
     least: int = TEMPLATE_PAGES,
+    folder: str | None = None,
 ) -> DataFrame:
     """``keep``, ``text`` and ``n_chars`` of every page.
 
@@ -216,9 +233,9 @@ def extract(
     let_workers_import(pages.sparkSession)
     plain = pages.select(
         F.struct(*keep).alias("kept"),
-        urls.host(F.col(url)).alias("host"),
+        F.xxhash64(urls.host(F.col(url))).alias("host"),
         F.coalesce(F.col(html), F.lit("")).alias("html"),
-    ).withColumn("page", F.xxhash64("html"))
+    ).withColumn("page", F.xxhash64("host", "html"))
 
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -227,15 +244,15 @@ def extract(
             ])
 
     parsed = F.pandas_udf(parse, "array<struct<text:string,within:array<bigint>>>")
-    blocks = plain.select("kept", "host", "page", parsed("html").alias("blocks"))
-    gone = templates(plain, least)
+    blocks = plain.select("kept", "page", parsed("html").alias("blocks"))
+    gone = templates(plain, least, folder)
     nothing = F.array().cast("array<bigint>")
     left = F.filter(
         "blocks",
         lambda b: ~F.arrays_overlap(b["within"], F.coalesce(F.col("gone"), nothing)),
     )
     return (
-        blocks.join(gone, ["host", "page"], "left")
+        blocks.join(gone, "page", "left")
         .select("kept.*", F.array_join(F.transform(left, lambda b: b["text"]), "\n\n").alias("text"))
         .withColumn("n_chars", F.length("text").cast("bigint"))
     )

@@ -17,7 +17,6 @@ counting within tasks (``FREQUENT`` at most are told apart), the others are orde
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -175,20 +174,23 @@ def _shared(entries: DataFrame) -> DataFrame:
 class _Store:
     """Tables written once to the shared folder, so that no loop grows the plan behind it.
 
-    What was shuffled for a table is of no use once it is written. Spark removes such files when it
-    finds the plan collected as garbage, so that is asked for after each write.
+    What was shuffled for a table is of no use once it is written, so Spark is told to remove such
+    files at the end of each write; else they would stay until the driver collects its garbage.
     """
 
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
     def __init__(self, spark: SparkSession, folder: str | None):
         self.spark, self.folder = spark, folder or shared_folder(spark, "jaccard")
 
     def put(self, name: str, table: DataFrame) -> DataFrame:
-        schema = table.schema
-        table.write.parquet(f"{self.folder}/{name}")
-        del table
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+        before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            table.write.parquet(f"{self.folder}/{name}")
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
+        return self.spark.read.schema(table.schema).parquet(f"{self.folder}/{name}")
 
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -93,6 +93,12 @@ def _counted(df: DataFrame, columns: Iterable[str], rows: Column | None = None)
     return df.groupBy(*columns).agg(total.alias("rows"))
 
 
+def _counted_value(column: str) -> Column:
+    """A value that has rows, as all have. Seen with its count, a condition on it stays above the
+    grouping, which can then be the same exchange for every check."""
+    return F.when(F.col("rows") > 0, F.col(column))
+
+
 def _repeated(groups: DataFrame, table: str, key: list[str]) -> DataFrame:
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
     return groups.where(missing | (F.col("rows") > 1)).select(
@@ -105,7 +111,7 @@ def _repeated(groups: DataFrame, table: str, key: list[str]) -> DataFrame:
 
 def _orphans(values: DataFrame, table: str, column: str, known: DataFrame) -> DataFrame:
     """``values`` are counted by ``column``, ``known`` holds a ``value`` each once."""
-    held = values.where(F.col(column).isNotNull())
+    held = values.where(_counted_value(column).isNotNull())
     return held.join(known, held[column] == known["value"], "left_anti").select(
         F.lit(table).alias("table"),
         F.lit("foreign_key").alias("rule"),
@@ -160,9 +166,8 @@ def check_table(tables: dict[str, DataFrame], name: str) -> DataFrame:
         r = e.reference
         values = _counted(groups, [r.column], F.col("rows"))
         parents = _key_groups(tables[r.parent], ENTITIES[r.parent])
-        # The counts are kept in use, so that the parent's exchange is the one made before.
-        held = _counted(parents, [r.parent_column], F.col("rows")).where("rows > 0")
-        known = held.select(F.col(r.parent_column).alias("value"))
+        held = _counted(parents, [r.parent_column], F.col("rows"))
+        known = held.select(_counted_value(r.parent_column).alias("value"))
         found = found.unionByName(_orphans(values, e.name, r.column, known))
     return found
 

@@ -306,3 +306,25 @@ def test_group_totals_agree(spark):
         e, a = parts[r["regiao"]]
         parts[r["regiao"]] = (e + r["total_escolas"], a + r["total_alunos"])
     assert whole == dict(parts)
+
+
+# Groups whose mean is NULL, beside others: where each question puts them.
+NULL_FIRST = {
+    "comparacao_redes": ("rede", [("vazia",), ("privada",), ("pública",)]),
+    "rede_por_regiao": ("rede", [("vazia",), ("privada",), ("pública",)]),
+    "estatisticas_disciplina": ("disciplina", [("Sem nota",), ("Matemática",)]),
+    "ranking_disciplinas": ("disciplina", [("Sem nota",), ("Matemática",)]),
+    "disciplina_por_rede": ("rede", [("privada",), ("pública",), ("pública",)]),
+}
+
+
+@pytest.mark.parametrize("name", NULL_FIRST)
+def test_null_means_come_first(spark, name):
+    w = make_warehouse(
+        spark,
+        [("E1", "a", "pública", "Sul"), ("E2", "b", "privada", "Sul"), ("E3", "c", "vazia", "Sul")],
+        [("A1", "E1"), ("A2", "E2")],
+        [("A1", "Matemática", 5.0), ("A2", "Matemática", 9.0), ("A1", "Sem nota", None)],
+    )
+    column, want = NULL_FIRST[name]
+    assert rows(NAMED_QUERIES[name](w).select(column)) == want

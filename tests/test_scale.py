@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import derived_views
 from boletim.operators.clean import clean_notas
+from boletim.operators.quality import check_warehouse
 from boletim.operators.ranking import with_rank
 from boletim.plans.queries import NAMED_QUERIES, media_global
 from boletim.plans.report import answer_all, prepared
@@ -43,6 +44,20 @@ def test_scans_of_each_table(spark, conf, name, broadcast):
         assert unneeded not in plan
 
 
+def test_checks_scan_each_table_twice(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = final_plan(check_warehouse(derived_views.warehouse(spark, SF_DIR)))
+    reads = re.sub(r"== Initial Plan ==.*", "", plan, flags=re.S)
+    assert len(re.findall(r"FileScan parquet \[l_", reads)) == 2
+    assert len(re.findall(r"FileScan parquet \[o_", reads)) == 2
+    assert len(re.findall(r"FileScan parquet \[c_", reads)) == 2
+
+
+def test_network_comparison_shuffles_no_subject(spark):
+    plan = final_plan(NAMED_QUERIES["comparacao_redes"](derived_views.warehouse(spark, SF_DIR)))
+    assert "l_linenumber" not in plan and "disciplina" not in plan
+
+
 def test_values_are_counted_without_student_ids(spark, tmp_path):
     base = str(tmp_path)
     raw = spark.createDataFrame([("A1", "M", "7"), ("A2", "H", "8")], raw_schema("nota"))

@@ -17,6 +17,7 @@ counting within tasks (``FREQUENT`` at most are told apart), the others are orde
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -182,6 +183,7 @@ class _Store:
 
     def __init__(self, spark: SparkSession, folder: str | None):
         self.spark, self.folder = spark, folder or shared_folder(spark, "jaccard")
+        self.put_tables: list[str] = []
 
     def put(self, name: str, table: DataFrame) -> DataFrame:
         before = self.spark.conf.get(self.CLEANUP, "false")
@@ -192,6 +194,26 @@ class _Store:
             self.spark.conf.set(self.CLEANUP, before)
         return self.spark.read.schema(table.schema).parquet(f"{self.folder}/{name}")
 
+    def put_bucketed(self, name: str, table: DataFrame, key: str) -> DataFrame:
+        """The same in buckets of ``key``, so that joins on it move the other side only."""
+        count = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        title = f"{name}_{uuid.uuid4().hex}"
+        self.put_tables.append(title)
+        dealt = table.repartition(count, key)
+        writer = dealt.write.bucketBy(count, key).sortBy(key)
+        before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            writer.option("path", f"{self.folder}/{name}").saveAsTable(title)
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
+        return self.spark.table(title)
+
+    def forget(self) -> None:
+        """Take the bucketed tables out of the catalog; their files stay in the folder."""
+        for title in self.put_tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {title}")
+
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """``class_id, tokens`` of the classes of ``wanted`` (``doc, class_id``)."""
@@ -361,7 +383,7 @@ def join(
     shared = _shared(_entries(texts, order))
     items = store.put("items", _items(shared, classes))
     wanted = classes.join(items.select("class_id").distinct(), "class_id", "left_semi")
-    sets = store.put("sets", _sets(texts, wanted))
+    sets = store.put_bucketed("sets", _sets(texts, wanted), "class_id")
     labels, links, tried, changed = None, None, None, True
     so_far = _labelled(items, labels)
     for step in range(LEADERS + 1):
@@ -372,12 +394,14 @@ def join(
         pairs = _leader_pairs(so_far, step) if step < LEADERS else _remaining_pairs(so_far)
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = store.put(f"pairs-{step}", pairs)
         found = store.put(f"verified-{step}", _linked(pairs, sets))
         tried = found if tried is None else tried.union(found)
         links = tried.where("linked").select("a", "b")
         changed = found.where("linked").limit(1).count() > 0
         if changed:
             labels = components(links, store, f"components-{step}")
+    store.forget()
     known = profiles.select("doc", "size", "class_id")
     placed = _labelled(known, labels).withColumnRenamed("component", "place")
     lowest = placed.where("place IS NOT NULL").groupBy("place").agg(F.min("doc").alias("lowest"))

@@ -64,9 +64,11 @@ def _named(question: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, sf_dir: question(warehouse(spark, sf_dir))
 
 
-def _prepared(question: Callable[[Warehouse], DataFrame]) -> Query:
+def _prepared(question: Callable[[Warehouse], DataFrame], reduction: str) -> Query:
     """The question over grades reduced and written beforehand."""
-    return lambda spark, sf_dir: question(prepared(spark, warehouse(spark, sf_dir)))
+    return lambda spark, sf_dir: question(
+        prepared(spark, warehouse(spark, sf_dir), reductions=[reduction])
+    )
 
 
 def _on_view(name: str, work: Callable[[DataFrame], DataFrame]) -> Query:
@@ -256,9 +258,13 @@ def queries() -> dict[str, Query]:
     return {
         **named,
         "media_global": _named(media_global),
-        "ranking_escolas_regiao_prepared": _prepared(NAMED_QUERIES["ranking_escolas_regiao"]),
-        "comparacao_redes_prepared": _prepared(NAMED_QUERIES["comparacao_redes"]),
-        "estatisticas_disciplina_prepared": _prepared(NAMED_QUERIES["estatisticas_disciplina"]),
+        "ranking_escolas_regiao_prepared": _prepared(
+            NAMED_QUERIES["ranking_escolas_regiao"], "per_student"
+        ),
+        "comparacao_redes_prepared": _prepared(NAMED_QUERIES["comparacao_redes"], "per_network"),
+        "estatisticas_disciplina_prepared": _prepared(
+            NAMED_QUERIES["estatisticas_disciplina"], "per_value"
+        ),
         "clean_escolas": _on_view("escolas", lambda df: clean_escolas(df, RUN_TS)),
         "clean_alunos": _on_view("alunos", lambda df: clean_alunos(df, RUN_TS)),
         "clean_notas": _on_view("notas", lambda df: clean_notas(df, RUN_TS)),

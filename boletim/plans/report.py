@@ -6,6 +6,7 @@ three: by student, by student to their network, and by student for the exact dis
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,22 @@ from boletim.storage import shared_folder
 from boletim.warehouse import Warehouse
 
 
-def prepared(spark: SparkSession, w: Warehouse, folder: str | None = None) -> Warehouse:
+REDUCTIONS = {
+    "per_student": lambda w: grades_per_student(w.nota),
+    "per_value": lambda w: grades_per_value(w.nota),
+    "per_network": grades_per_network,
+}
+
+
+def prepared(
+    spark: SparkSession,
+    w: Warehouse,
+    folder: str | None = None,
+    reductions: Iterable[str] = tuple(REDUCTIONS),
+) -> Warehouse:
     """Reduce the grades once by student, by value and by network, for all questions.
 
-    The reductions are written to ``folder`` (by default in the shared folder of the cluster), so
+    The ``reductions`` wanted are written to ``folder`` (by default in the shared folder of the cluster), so
     a lost executor does not bring the grade table's shuffle back.
     """
     folder = folder or shared_folder(spark, "prepared")
@@ -30,12 +43,7 @@ def prepared(spark: SparkSession, w: Warehouse, folder: str | None = None) -> Wa
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    return replace(
-        w,
-        per_student=stored(grades_per_student(w.nota), "per_student"),
-        per_value=stored(grades_per_value(w.nota), "per_value"),
-        per_network=stored(grades_per_network(w), "per_network"),
-    )
+    return replace(w, **{name: stored(REDUCTIONS[name](w), name) for name in reductions})
 
 
 def answer_all(

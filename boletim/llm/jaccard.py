@@ -252,31 +252,42 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(edges: DataFrame, store: _Store, name: str) -> DataFrame:
     """``node, component`` (its smallest node) of every node of ``edges`` (``a, b``).
 
-    Nodes take the smallest component among their neighbours and then that node's own, until none
-    changes; every round is written.
+    Every round each node moves to the least node at most two edges away, and the edges between
+    places that still differ are the next round's, until there are none. What is least goes by a
+    hash of the round, so that a round leaves a fraction of the nodes, whatever they are linked to:
+    rounds grow with the logarithm of a component's size, and each has fewer nodes than the one
+    before. The moves are then followed back from the last. Every round is written.
     """
-    both = store.put(
-        f"{name}-edges", edges.select("a", "b").union(edges.select("b", "a")).distinct()
-    )
-    labels = store.put(f"{name}-0", both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.first("a")).alias("component")
-    ))
-    for step in range(1, 200):
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(
-            F.min("component").alias("least")
-        )
-        lower = labels.join(near, labels["node"] == near["a"]).select(
-            "node", F.least("component", "least").alias("low"), "component"
+    edges = store.put(f"{name}-edges-0", edges.where("a <> b").select("a", "b").union(
+        edges.where("a <> b").select("b", "a")
+    ).distinct())
+    moves: list[DataFrame] = []
+    while edges.limit(1).count():
+        step = len(moves)
+        ranked = lambda c, k=step: F.struct(F.xxhash64(c, F.lit(k)).alias("h"), F.col(c).alias("id"))
+        near = store.put(f"{name}-near-{step}", edges.groupBy("a").agg(
+            F.min(ranked("b")).alias("other")
+        ).select(F.col("a").alias("node"), F.least("other", ranked("a")).alias("least")))
+        far = edges.join(near, edges["b"] == near["node"]).groupBy("a").agg(
+            F.min("least").alias("other")
         )
-        root = labels.select(F.col("node").alias("low"), F.col("component").alias("root"))
-        moved = store.put(f"{name}-{step}", lower.join(root, "low").select(
-            "node", F.col("root").alias("component"),
-            (F.col("root") != F.col("component")).alias("changed"),
+        moves.append(store.put(f"{name}-moves-{step}", far.join(near, far["a"] == near["node"]).select(
+            "node", F.least("other", "least")["id"].alias("place")
+        )))
+        side = lambda k, m=moves[-1]: m.select(F.col("node").alias(k), F.col("place").alias(f"to_{k}"))
+        edges = store.put(f"{name}-edges-{step + 1}", edges.join(side("a"), "a").join(
+            side("b"), "b"
+        ).where("to_a <> to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).distinct())
+    if not moves:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    placed = moves.pop()
+    for step in range(len(moves) - 1, -1, -1):
+        later = placed.select(F.col("node").alias("place"), F.col("place").alias("last"))
+        placed = store.put(f"{name}-placed-{step}", moves[step].join(later, "place", "left").select(
+            "node", F.coalesce("last", "place").alias("place")
         ))
-        labels = moved.select("node", "component")
-        if not moved.where("changed").limit(1).count():
-            break
-    return labels
+    lowest = placed.groupBy("place").agg(F.min("node").alias("component"))
+    return store.put(name, placed.join(lowest, "place").select("node", "component"))
 
 
 def _labelled(items: DataFrame, labels: DataFrame | None) -> DataFrame:

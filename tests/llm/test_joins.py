@@ -70,6 +70,20 @@ def test_jaccard_join_of_nothing(spark, tmp_path):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == {(1, 0, 1), (2, 0, 2)}
 
 
+def test_components_of_long_chains(spark, tmp_path):
+    rng = random.Random(11)
+    ids = [rng.randrange(-(2**63), 2**63) for _ in range(4000)]
+    chain, star, pair = ids[:3000], ids[3000:3900], ids[3900:3902]
+    edges = list(zip(chain, chain[1:])) + [(star[0], x) for x in star[1:]] + [tuple(pair)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame([*edges, *edges[:9]], "a bigint, b bigint")
+    store = jaccard._Store(spark, str(tmp_path / "chain"))
+    got = jaccard.components(df, store, "c").collect()
+    want = {node: min(part) for part in (chain, star, pair) for node in part}
+    assert len(got) == len(want) and {r.node: r.component for r in got} == want
+    assert len(list((tmp_path / "chain").glob("c-moves-*"))) <= 15
+
+
 def test_prefixes_of_links_meet():
     rng = np.random.default_rng(0)
     frequent = rng.integers(0, 2**63, 50).astype("uint64")

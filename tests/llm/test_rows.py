@@ -148,6 +148,25 @@ def test_perspectives(spark):
     assert chat.perspectives(df.limit(0)).count() == 0
 
 
+def test_perspectives_without_turns(spark):
+    said = [("ann", "ok")] * 150 + [("bob", f"{i:03}") for i in range(100)] + [("bob", "yes")] * 2
+    rows = [(1, None, *m) for m in said] + [(1, 7, "ann", f"{i:03}") for i in range(90)]
+    rows += [(1, 7, "ann", "000")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = sorted(chat.perspectives(df).where("perspective = 'ann'").collect(), key=lambda r: r.begin)
+    assert [(r.part, r.piece, r.n_turns) for r in got] == [
+        (-1, 0, 64), (-1, 1, 64), (-1, 2, 64), (-1, 3, 60), (0, 0, 64), (0, 1, 26)
+    ]
+    ends = [r.begin + len(r.text) for r in got]
+    assert [r.begin for r in got] == [0, *ends[:-1]]
+    own, tail = "<|im_start|>assistant\n", "<|im_end|>\n"
+    other = "<|im_start|>user name=bob\n"
+    want = [(own if s == "ann" else other) + x + tail for s, x in said]
+    want += [f"{own}{i:03}{tail}" for i in range(90)]
+    assert "".join(r.text for r in got) == "".join(want)
+    assert sum(len(r.mask) for r in got) == 240
+
+
 def test_token_counts(spark, docs):
     library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
     got = sorted((r.n_bytes, r.n_tokens, r.over_limit) for r in tokens.token_counts(docs).collect())

@@ -3,7 +3,8 @@
 Element subtrees are hashed with all they hold and counted per host, over pages with different
 articles. A subtree on many pages of a host is its template and is deleted wherever it stands on
 that host; what one page alone shows of menus, adverts and the like goes by the element's name,
-role and class. The rest of the article is the text.
+role and class. The rest of the article is the text. Classes tell nothing of an element that holds
+the article.
 
 A paragraph or heading directly in an article is never a template, since articles may quote the same
 passage, and pages with the same article count as one, so that copies don't delete each other.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -45,7 +47,7 @@ _CLOSED_BY = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 _LISTS = {"ul", "ol", "menu", "dl", "table"}
-# Words of a class, id or role that tell what an element is for.
+# Classes, ids and roles, or last parts of them, that tell what an element is for.
 _USES = set(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies"
     " consent notice alert sidebar menu nav navbar navigation breadcrumb breadcrumbs footer"
@@ -53,15 +55,32 @@ _USES = set(
     " login signup search complementary contentinfo dialog toolbar pagination".split()
 )
 _PAGE_HEADS = {"header", "masthead", "topbar"}
+# First parts of a class that tells what a page has around its text.
+_STATES = set("has have no not with without is hide show".split())
+# Elements that classes tell nothing of.
+_FRAMES = {"html", "body", "main", "article"}
 _PARTS = re.compile("[^a-z0-9]+")
 _BLANK = re.compile(r"\s+")
 
 
+@lru_cache(1 << 14)
+def _is_named(names: str, main: bool) -> bool:
+    """Whether a whole class, id or role, or the last part of one, tells of furniture."""
+    uses = _USES if main else _USES | _PAGE_HEADS
+    for name in names.lower().split():
+        parts = [p for p in _PARTS.split(name) if p]
+        if parts and parts[-1] in uses and (len(parts) == 1 or parts[0] not in _STATES):
+            return True
+    return False
+
+
 @dataclass
 class _Element:
     tag: str
-    furniture: bool
+    hidden: bool
+    named: bool
     main: bool
+    furniture: bool = False
     holds_main: bool = False
     kept: list = field(default_factory=list)
 
@@ -71,7 +90,8 @@ class _Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Element("", False, False)]
+        self.stack = [_Element("", False, False, False)]
+        self.mains: list[list[_Element]] = []
         self.blocks: list[tuple[str, list[_Element]]] = []
         self.text: list[str] = []
         self.hashes: dict[int, tuple[_Element, int]] = {}
@@ -83,13 +103,10 @@ class _Page(HTMLParser):
             self.stack[-1].kept.append(text)
             self.blocks.append((text, self.stack[1:]))
 
-    def _is_furniture(self, tag: str, attrs: dict, main: bool) -> bool:
-        words = _PARTS.split(
-            " ".join(attrs.get(k) or "" for k in ("class", "id", "role")).lower()
-        )
-        heads = not main and (tag == "header" or not _PAGE_HEADS.isdisjoint(words))
-        hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true"
-        return tag in _FURNITURE or heads or hidden or not _USES.isdisjoint(words)
+    def _is_hidden(self, tag: str, attrs: dict, main: bool) -> bool:
+        if tag in _HIDDEN or tag in _FURNITURE or (tag == "header" and not main):
+            return True
+        return "hidden" in attrs or attrs.get("aria-hidden") == "true"
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _VOID:
@@ -105,11 +122,12 @@ class _Page(HTMLParser):
         named = dict(attrs)
         begins = tag in ("article", "main") or named.get("role") == "main"
         main = up.main or begins
-        furniture = up.furniture or tag in _HIDDEN or self._is_furniture(tag, named, up.main)
-        self.stack.append(_Element(tag, furniture, main))
-        if begins and not furniture:
-            for element in self.stack:
-                element.holds_main = True
+        told = bool(attrs) and not begins and tag not in _FRAMES and _is_named(
+            " ".join(named.get(k) or "" for k in ("class", "id", "role")), up.main
+        )
+        self.stack.append(_Element(tag, self._is_hidden(tag, named, up.main), told, main))
+        if begins:
+            self.mains.append(list(self.stack))
 
     def _close_implied(self, tag: str) -> None:
         ended = _CLOSED_BY.get(tag, set()) | {"p"}
@@ -147,6 +165,28 @@ class _Page(HTMLParser):
         self.close()
         self._flush()
         self._pop_to(1)
+        self._settle()
+
+    def _settle(self) -> None:
+        """Tell furniture, now that it is known what holds the article.
+
+        The article is what begins within the fewest elements named as furniture; others in a list
+        of related ones, say, are within more.
+        """
+        shown = [around for around in self.mains if not any(e.hidden for e in around)]
+        fewest = min((sum(e.named for e in around) for around in shown), default=0)
+        articles = [a for a in shown if sum(e.named for e in a) == fewest]
+        for element in (e for around in articles for e in around):
+            element.named, element.holds_main = False, True
+        for around in [*self.mains, *(around for _, around in self.blocks)]:
+            gone = False
+            for element in around:
+                gone = gone or element.hidden or element.named
+                element.furniture = gone
+        for around in self.mains:
+            if not around[-1].furniture:
+                for element in around:
+                    element.holds_main = True
 
 
 def _parsed(html: str) -> tuple[list[tuple[str, list[int]]], list[int], int]:

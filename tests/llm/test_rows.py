@@ -283,3 +283,20 @@ def test_extraction(spark):
     copies = df.where("page_id = 0").crossJoin(spark.range(9).selectExpr("id AS n"))
     assert "other stories" in html.extract(copies.drop("n")).first().text
     assert html.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<body class="has-sidebar"><article><p>a</p></article></body>', "a"),
+    ('<body class="sidebar"><p>a</p></body>', "a"),
+    ('<div id="page" class="no-sidebar"><main class="with-sidebar"><p>a</p></main></div>', "a"),
+    ('<div class="sidebar"><div class="social"><article><p>a</p></article></div></div>', "a"),
+    ('<article class="post category-social"><section class="search-results"><p>a</p></section>'
+     '<div class="post-comments"><p>b</p></div></article>', "a"),
+    ('<div class="no-sidebar"><p>a</p></div><div class="left-sidebar"><p>b</p></div>', "a"),
+    ('<div id="page" class="banner"><main><p>a</p><div class="related"><article><p>b</p></article>'
+     '</div></main></div>', "a"),
+    ('<div class="related"><article><p>b</p></article></div><article><p>a</p></article>', "a"),
+    ('<div class="header"><p>b</p></div><div class="has-header"><p>a</p></div>', "a"),
+])
+def test_classes_around_the_article_tell_nothing(page, text):
+    assert "\n\n".join(t for t, _ in html._parsed(page)[0]) == text

@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boletim.llm import chat, fingerprints, html, jaccard, mixing, packing, tokens, topk, toxicity, urls
+from boletim.llm import (
+    bitpack,
+    centroids,
+    chat,
+    fingerprints,
+    html,
+    jaccard,
+    mixing,
+    packing,
+    spelling,
+    tokens,
+    topk,
+    toxicity,
+    urls,
+)
 from boletim.llm.common import table
+from boletim.storage import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,7 +77,35 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "ids")
+    bitpack.write(table(spark, sf_dir, "documents"), folder)
+    return bitpack.read(spark, folder)
+
+
+def op12_centroid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_fingerprints, op2_url_filter, op3_top_k, op4_perspectives, op5_token_counts, op6_template_removal, op7_jaccard_join, op8_toxicity, op9_bin_slack_packing, op10_source_mix)
+    for f in (
+        op1_fingerprints,
+        op2_url_filter,
+        op3_top_k,
+        op4_perspectives,
+        op5_token_counts,
+        op6_template_removal,
+        op7_jaccard_join,
+        op8_toxicity,
+        op9_bin_slack_packing,
+        op10_source_mix,
+        op11_bit_packing,
+        op12_centroid_search,
+        op13_spelling_variants,
+    )
 }

@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
 
 import oracle  # noqa: E402
 from boletim.operators.clean import (  # noqa: E402
@@ -18,6 +20,7 @@ from boletim.operators.clean import (  # noqa: E402
     clean_notas,
     rejected_notas,
 )
+from boletim.operators.order import with_position  # noqa: E402
 from boletim.operators.quality import (  # noqa: E402
     check_decimal,
     check_fk,
@@ -27,7 +30,7 @@ from boletim.operators.quality import (  # noqa: E402
     check_unique,
     check_warehouse,
 )
-from boletim.plans.etl import run_pipeline  # noqa: E402
+from boletim.plans.etl import row_counts, run_pipeline  # noqa: E402
 from boletim.plans.queries import NAMED_QUERIES, media_global  # noqa: E402
 from boletim.plans.report import prepared  # noqa: E402
 from boletim.schemas import (  # noqa: E402
@@ -36,26 +39,30 @@ from boletim.schemas import (  # noqa: E402
     GRADE_RANGE,
     NOTA,
     processed_schema,
+    raw_schema,
 )
 from boletim.sinks.load import CatalogTarget  # noqa: E402
-from boletim.sinks.parquet import replace_layer, write_processed  # noqa: E402
+from boletim.sinks.parquet import write_processed  # noqa: E402
 from boletim.sinks.tables import create_warehouse  # noqa: E402
-from boletim.sources.catalog import register_dataset  # noqa: E402
-from boletim.sources.processed import processed_path, read_processed  # noqa: E402
-from boletim.sources.raw import raw_path, read_raw, write_raw  # noqa: E402
+from boletim.sources.catalog import (  # noqa: E402
+    list_tables,
+    register_dataset,
+    register_processed,
+)
+from boletim.sources.processed import read_processed  # noqa: E402
+from boletim.sources.raw import list_files, raw_path, read_raw, write_raw  # noqa: E402
 from boletim.storage import shared_folder  # noqa: E402
 from boletim.streaming.ingest import ingest_new  # noqa: E402
 from boletim.warehouse import Warehouse, to_warehouse  # noqa: E402
 from derived_views import RUN_TS, spark_view, warehouse  # noqa: E402
 
-try:
+LLM_QUERIES, LLM_SQL = {}, {}
+if os.path.exists(f"{HERE}/corpus_pipeline.py") and os.path.exists(f"{HERE}/boletim/llm/queries.py"):
     import corpus_pipeline
     from boletim.llm.queries import QUERIES
     from boletim.llm.sql import SQL as LLM_SQL
 
     LLM_QUERIES = {**QUERIES, "pipeline": corpus_pipeline.run}
-except ImportError:
-    LLM_QUERIES, LLM_SQL = {}, {}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,47 +173,74 @@ def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_processed(spark, out, "nota")
 
 
-def _ingest_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One part of the grades by the batch job, then the other by ingest."""
+_PADDED = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _batch_then_ingest(spark: SparkSession, sf_dir: str) -> str:
+    """A layer with one part of the grades by the batch job, then the other by ingest."""
     raw, out = shared_folder(spark, "raw"), shared_folder(spark, "processed")
     later = F.coalesce(F.pmod(F.xxhash64("aluno_id"), F.lit(3)) == 0, F.lit(False))
     notas = spark_view(spark, sf_dir, "notas")
     write_raw(notas.where(~later), raw, "notas")
-    source = read_raw(spark, raw, "notas")
-    replace_layer(spark, clean_notas(source, RUN_TS), out, "nota", source.inputFiles())
-    rest = shared_folder(spark, "raw")
-    write_raw(notas.where(later), rest, "notas")
-    added = read_raw(spark, rest, "notas").write.mode("append").option("header", True)
-    padding = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    added.options(**padding).csv(raw_path(raw, "notas"))
+    files = list_files(spark, raw_path(raw, "notas"))
+    write_processed(clean_notas(read_raw(spark, raw, "notas"), RUN_TS), out, "nota", files)
+    # The files that follow have their columns in another order.
+    rest = notas.where(later).select("nota", "aluno_id", "disciplina")
+    rest.write.mode("append").options(**_PADDED).csv(raw_path(raw, "notas"))
     ingest_new(spark, raw, "notas", out, shared_folder(spark, "taken"), RUN_TS)
-    return read_processed(spark, out, "nota")
+    return out
+
+
+def _ingest_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_processed(spark, _batch_then_ingest(spark, sf_dir), "nota")
+
+
+def _register_after_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered layer holds what the batch job and what the ingest has written."""
+    db = _new_database(spark)
+    done = register_processed(spark, db, _batch_then_ingest(spark, sf_dir), "nota")
+    return spark.table(done.table)
+
+
+def _mixed_headers(spark: SparkSession, sf_dir: str) -> str:
+    """Raw grades in files of three headers: declared, in another order, with another column."""
+    base = shared_folder(spark, "raw")
+    notas = spark_view(spark, sf_dir, "notas")
+    third = F.pmod(F.xxhash64("aluno_id", "disciplina"), F.lit(3))
+    more = F.concat("aluno_id", F.lit("/x")).alias("turma")
+    layouts = (["aluno_id", "disciplina", "nota"], ["nota", "disciplina", "aluno_id"],
+               [more, "nota", "aluno_id", "disciplina"])
+    for k, columns in enumerate(layouts):
+        part = notas.where(F.coalesce(third, F.lit(0)) == k).select(*columns)
+        part.write.mode("append").options(**_PADDED).csv(raw_path(base, "notas"))
+    return base
+
+
+def _csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_notas(read_raw(spark, _mixed_headers(spark, sf_dir), "notas"), RUN_TS)
 
 
-def _registered(spark: SparkSession, sf_dir: str) -> str:
-    """A database over the processed layer, registered before and after a part is added."""
+def _register_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table over raw files whose headers differ."""
+    db, path = _new_database(spark), raw_path(_mixed_headers(spark, sf_dir), "notas")
+    done = register_dataset(spark, db, "notas", path, "csv", raw_schema("notas"))
+    notas = spark.table(done.table).select(NOTA.column_names)
+    return clean_notas(notas, RUN_TS)
+
+
+def _register_nota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer registered before and after its grades are replaced."""
     db, base = _new_database(spark), shared_folder(spark, "processed")
     view = spark_view(spark, sf_dir, "notas")
-    write_processed(clean_escolas(spark_view(spark, sf_dir, "escolas"), RUN_TS), base, "escola")
-    write_processed(clean_alunos(spark_view(spark, sf_dir, "alunos"), RUN_TS), base, "aluno")
     first = F.trim("disciplina") != "Matemática"
     for part in (view.where(first), view):
         write_processed(clean_notas(part, RUN_TS), base, "nota")
-        for name, e in ENTITIES.items():
-            columns = [e.partition_by] if e.partition_by else []
-            register_dataset(
-                spark, db, name, processed_path(base, name), "parquet",
-                processed_schema(name), columns,
-            )
-    return db
-
-
-def _register_nota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(f"{_registered(spark, sf_dir)}.nota")
+        register_processed(spark, db, base, "nota")
+    return spark.table(f"{db}.nota")
 
 
 def _statistics_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A question over grades that are stored as doubles behind a registered table."""
+    """A question over grades that are stored as doubles behind a registered layer."""
     db, base = _new_database(spark), shared_folder(spark, "processed")
     w = warehouse(spark, sf_dir)
     for name, df in w.tables().items():
@@ -216,14 +250,36 @@ def _statistics_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
         numbers = {"nota": F.col("nota").cast("double")} if name == "nota" else {}
         write_processed(df.withColumns({**stamps, **numbers}), base, name)
-        e = ENTITIES[name]
-        register_dataset(
-            spark, db, name, processed_path(base, name), "parquet", processed_schema(name),
-            [e.partition_by] if e.partition_by else [],
-        )
+        register_processed(spark, db, base, name)
     return NAMED_QUERIES["estatisticas_disciplina"](Warehouse.from_catalog(spark, db))
 
 
+def _catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse's tables in the order they are listed, with comments and rows."""
+    db = _new_database(spark)
+    create_warehouse(spark, db)
+    cleaners = {"escola": clean_escolas, "aluno": clean_alunos, "nota": clean_notas}
+    target = CatalogTarget(spark, db)
+    for name, clean in cleaners.items():
+        cleaned = clean(spark_view(spark, sf_dir, ENTITIES[name].raw_name), RUN_TS)
+        kept = reduce(lambda df, c: df.where(F.col(c).isNotNull()), ENTITIES[name].column_names, cleaned)
+        lengths = ENTITIES[name].lengths
+        kept = reduce(lambda df, c: df.where(F.char_length(c) <= lengths[c]), lengths, kept)
+        target.append(to_warehouse(kept, name), name)
+    listed = with_position(list_tables(spark, db, [*cleaners, "outra"]))
+    comments = [(n, spark.catalog.getTable(f"{db}.{n}").description) for n in cleaners]
+    about = spark.createDataFrame(comments, "table_name string, comentario string")
+    counts = row_counts({n: spark.table(f"{db}.{n}") for n in cleaners})
+    return listed.join(about, "table_name").join(
+        counts.withColumnRenamed("dataset", "table_name"), "table_name"
+    )
+
+
+def _ordered(question: Callable[[Warehouse], DataFrame]) -> Query:
+    """The question's rows with their places, which show its order."""
+    return lambda spark, sf_dir: with_position(question(warehouse(spark, sf_dir)))
+
+
 def _loads(spark: SparkSession, sf_dir: str) -> tuple[str, list]:
     raw, db = _raw_layer(spark, sf_dir, "escolas", "alunos", "notas"), _new_database(spark)
     create_warehouse(spark, db)
@@ -257,6 +313,7 @@ def queries() -> dict[str, Query]:
     named = {name: _named(question) for name, question in NAMED_QUERIES.items()}
     return {
         **named,
+        **{f"ordem_{name}": _ordered(question) for name, question in NAMED_QUERIES.items()},
         "media_global": _named(media_global),
         "ranking_escolas_regiao_prepared": _prepared(
             NAMED_QUERIES["ranking_escolas_regiao"], "per_student"
@@ -306,6 +363,10 @@ def queries() -> dict[str, Query]:
         "load_catalog_nota": _load_catalog,
         "ingest_notas": _ingest,
         "ingest_after_batch": _ingest_after_batch,
+        "register_after_ingest": _register_after_ingest,
+        "csv_headers_notas": _csv_headers,
+        "register_headers_notas": _register_headers,
+        "catalog_tables": _catalog_tables,
         "parquet_roundtrip_nota": _roundtrip_nota,
         "register_nota": _register_nota,
         "estatisticas_disciplina_catalog": _statistics_catalog,
@@ -316,4 +377,12 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle.NAMED, **oracle.PREPARED, **oracle.CLEAN, **oracle.QUALITY, **oracle.STORAGE, **LLM_SQL}
+    return {
+        **oracle.NAMED,
+        **oracle.ORDERED,
+        **oracle.PREPARED,
+        **oracle.CLEAN,
+        **oracle.QUALITY,
+        **oracle.STORAGE,
+        **LLM_SQL,
+    }

@@ -9,19 +9,22 @@ from datetime import datetime
 from functools import partial, reduce
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from boletim.operators.clean import CLEANERS
 from boletim.schemas import ENTITIES
 from boletim.sinks.load import LoadStatus, Target, load_warehouse
-from boletim.sinks.parquet import replace_layer
+from boletim.sinks.parquet import write_part
+from boletim.sources.layer import Part, part_path, publish
 from boletim.sources.processed import read_processed
-from boletim.sources.raw import read_raw
+from boletim.sources.raw import list_files, raw_path, read_files, read_raw
 from boletim.warehouse import to_warehouse
 
 log = logging.getLogger(__name__)
 
+COUNTS_SCHEMA = "dataset string, lidas bigint, gravadas bigint"
+
 
 @dataclass(frozen=True)
 class Summary:
@@ -31,6 +34,15 @@ class Summary:
     loads: list[LoadStatus] = field(default_factory=list)
 
 
+@dataclass(frozen=True)
+class Written:
+    """A part, and the rows read for it and written to it."""
+
+    part: Part
+    read: int
+    written: int
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``dataset, linhas`` in one job; a Parquet count only reads footers."""
     counts = [
@@ -41,16 +53,38 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def run_counts(spark: SparkSession, raw: str, processed: str) -> DataFrame:
-    """Rows read and rows written, per dataset, as they are now.
+    """Rows of the raw files and of the layer, per dataset, as they are now.
 
-    Counted from the files rather than while writing, where a retried task would count twice.
     Cleaning drops grades only, so of the raw files only theirs are counted.
     """
     tables = {n: read_processed(spark, processed, n) for n in ENTITIES}
     tables["raw"] = read_raw(spark, raw, "nota")
     found = {r["dataset"]: r["linhas"] for r in row_counts(tables).collect()}
     rows = [(n, found["raw"] if n == "nota" else found[n], found[n]) for n in ENTITIES]
-    return spark.createDataFrame(rows, "dataset string, lidas bigint, gravadas bigint")
+    return spark.createDataFrame(rows, COUNTS_SCHEMA)
+
+
+def clean_to_part(
+    spark: SparkSession, raw: str, processed: str, name: str, run_ts: datetime
+) -> Written:
+    """Clean one dataset into a part, counting its rows on the way.
+
+    Rows are counted by the tasks that write them, before and after cleaning. A stage that is run
+    again, for a lost executor, counts its rows again; but then the second count is above that of
+    the files' footers, and the raw rows are counted by a read of their own.
+    """
+    files = list_files(spark, raw_path(raw, name))
+    before, after = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    source = read_files(spark, files, name)
+    cleaned = CLEANERS[name](source.observe(before, rows), run_ts).observe(after, rows)
+    part = write_part(cleaned, processed, name, files=files)
+    written = spark.read.parquet(part_path(processed, name, part.id)).count() if after.get["rows"] else 0
+    read = before.get["rows"]
+    if after.get["rows"] != written:
+        log.info("%s: rows of repeated tasks counted, raw rows are read again", name)
+        read = source.count()
+    return Written(part, read, written)
 
 
 def load_input(spark: SparkSession, processed: str, name: str) -> DataFrame:
@@ -68,17 +102,19 @@ def run_pipeline(
 ) -> Summary:
     """Clean and store the three datasets, then load them if a ``warehouse`` is given.
 
-    The raw text is read for the write, and that of the grades once more for their count; what
-    follows reads Parquet. A run replaces the Parquet layer, ingested batches included. With
-    ``on_error="log"`` a failed load leaves the Parquet layer and the job's success in place.
+    The raw text is read once, for the write; what follows reads Parquet. The three datasets appear
+    in the layer together, in place of the last run's and of the ingested rows whose files this run
+    has read. With ``on_error="log"`` a failed load leaves the Parquet layer and the job's success
+    in place.
     """
+    done = {}
     for name in ENTITIES:
-        source = read_raw(spark, raw, name)
-        cleaned = CLEANERS[name](source, run_ts)
-        replace_layer(spark, cleaned, processed, name, source.inputFiles())
+        done[name] = clean_to_part(spark, raw, processed, name, run_ts)
         log.info("%s written", name)
+    publish(spark, processed, [w.part for w in done.values()])
     loads: list[LoadStatus] = []
     if warehouse is not None:
         tables = {n: partial(load_input, spark, processed, n) for n in ENTITIES}
         loads = load_warehouse(tables, warehouse, on_error)
-    return Summary(run_counts(spark, raw, processed), loads)
+    counts = [(n, w.read, w.written) for n, w in done.items()]
+    return Summary(spark.createDataFrame(counts, COUNTS_SCHEMA), loads)

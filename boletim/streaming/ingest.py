@@ -3,33 +3,17 @@
 from __future__ import annotations
 
 from datetime import datetime
-from zlib import crc32
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from boletim.operators.clean import CLEANERS
 from boletim.schemas import entity
-from boletim.sinks.parquet import overwrite
-from boletim.sources.processed import BATCH_COLUMN, ingested_path, taken_path
-from boletim.sources.raw import header_of, raw_path
+from boletim.sinks.parquet import write_part
+from boletim.sources.layer import INGEST, plain, publish, taken_files
+from boletim.sources.raw import raw_path, read_files
 
-
-def _path(column: str) -> Column:
-    """A file's path, with local files written one way."""
-    return F.regexp_replace(column, "^file:/+", "file:/")
-
-
-def _taken(spark: SparkSession, out: str, name: str) -> DataFrame:
-    try:
-        files = spark.read.schema("file string").parquet(taken_path(out, name))
-        return files.select(_path("file").alias("file"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "file string")
+# The columns of a listing of files.
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def ingest_new(
@@ -37,29 +21,29 @@ def ingest_new(
 ) -> None:
     """Clean the raw files not seen before and add them to the Parquet layer.
 
-    ``checkpoint`` records what was taken and must outlive the job, on shared storage. Files that
-    the batch job has read are left out, by their path. Every batch of the stream has a folder of
-    its own, which a replay overwrites. Columns go by the header, which must be the same in all
-    files. Cleaning keeps no state, so there is no watermark. Returns when the files present are
-    done.
+    The stream only lists files; each batch of them is then read by header, so headers may differ.
+    ``checkpoint`` records what was listed and must outlive the job, on shared storage. Whether a
+    file is in the layer is for the layer's log to say: files that the current run or an earlier
+    ingest holds are left out, also after a restart, a replay or with a new checkpoint. A batch
+    counts once its part is published, and a batch job may run meanwhile. One ingest of a dataset
+    should run at a time; of two, the rows of a file that both took still count once. Cleaning keeps
+    no state, so there is no watermark. Returns when the files present are done.
     """
     e = entity(name)
-    header = T.StructType([T.StructField(c, T.StringType()) for c in header_of(spark, base, name)])
-    raw = (
-        spark.readStream.schema(header)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(raw_path(base, name))
-    )
-    stream = f"{crc32(checkpoint.encode()):08x}"
+    listing = spark.readStream.format("binaryFile").schema(LISTING).load(raw_path(base, name))
 
     def add(batch: DataFrame, number: int) -> None:
-        fresh = batch.join(_taken(batch.sparkSession, out, name), "file", "left_anti")
-        cleaned = CLEANERS[e.name](fresh.select(e.column_names), run_ts)
-        overwrite(cleaned, name, f"{ingested_path(out, name)}/{BATCH_COLUMN}={stream}-{number}")
+        session = batch.sparkSession
+        held = taken_files(session, out, name)
+        fresh = sorted({plain(r["path"]) for r in batch.collect()} - held)
+        if fresh:
+            rows = read_files(session, fresh, name, origin=True)
+            cleaned = CLEANERS[e.name](rows, run_ts)
+            publish(session, out, [write_part(cleaned, out, name, INGEST, fresh)])
 
     writer = (
-        raw.withColumn("file", _path("_metadata.file_path"))
+        # The content is not read: nothing asks for it.
+        listing.select("path")
         .writeStream.foreachBatch(add)
         .trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)

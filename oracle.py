@@ -22,6 +22,10 @@ _EXACT_MEAN = "CAST(avg(nota) AS DECIMAL(18,10))"
 _LINKED = """ligado AS (SELECT e.*, a.id AS aluno, n.nota
     FROM escola e LEFT JOIN aluno a USING (escola_id) LEFT JOIN nota n ON n.aluno_id = a.id)"""
 
+_RANKING = f"""regiao, nome AS escola_nome, rede, {_r2("media")} AS media_escola,
+        rank() OVER (PARTITION BY regiao ORDER BY media DESC NULLS FIRST) AS ranking_na_regiao,
+        {_r2("avg(media) OVER (PARTITION BY regiao)")} AS media_da_regiao"""
+
 
 def _percentile(p: float) -> str:
     return _r2(f"quantile_cont(CAST(nota AS DOUBLE), {p})")
@@ -50,9 +54,7 @@ NAMED = {
     "ranking_escolas_regiao": _warehouse(
         f""", por_escola AS (SELECT escola_id, regiao, nome, rede, {_EXACT_MEAN} AS media
             FROM ligado GROUP BY ALL)
-        SELECT regiao, nome AS escola_nome, rede, {_r2("media")} AS media_escola,
-        rank() OVER (PARTITION BY regiao ORDER BY media DESC NULLS FIRST) AS ranking_na_regiao,
-        {_r2("avg(media) OVER (PARTITION BY regiao)")} AS media_da_regiao FROM por_escola"""
+        SELECT {_RANKING} FROM por_escola"""
     ),
     "comparacao_redes": _warehouse(
         f"""SELECT rede, count(DISTINCT escola_id) AS total_escolas,
@@ -96,6 +98,30 @@ NAMED = {
     ),
 }
 
+# The stated order of each result; of rows equal in it, that of the key.
+ORDERS = {
+    "media_por_escola": "media_geral DESC NULLS LAST, escola_id",
+    "media_por_regiao": "media_geral DESC NULLS LAST, regiao",
+    "ranking_escolas_regiao": "regiao NULLS LAST, ranking_na_regiao NULLS LAST, escola_id",
+    "comparacao_redes": "media_geral DESC NULLS FIRST, rede",
+    "rede_por_regiao": "regiao NULLS LAST, media_nota DESC NULLS FIRST, rede",
+    "estatisticas_disciplina": "media DESC NULLS FIRST, disciplina",
+    "histograma_disciplina": "media DESC NULLS FIRST, disciplina",
+    "ranking_disciplinas": "media_nota DESC NULLS FIRST, disciplina",
+    "disciplina_por_rede": "disciplina NULLS LAST, media_nota DESC NULLS FIRST, rede",
+}
+
+
+def _ordered(name: str) -> str:
+    rows, left_out = NAMED[name], ""
+    if name == "ranking_escolas_regiao":  # its order ends with a column that it does not return
+        rows, left_out = rows.replace(f"SELECT {_RANKING}", f"SELECT escola_id, {_RANKING}"), "EXCLUDE (escola_id)"
+    return f"""SELECT row_number() OVER (ORDER BY {ORDERS[name]}) AS posicao, * {left_out}
+        FROM ({rows})"""
+
+
+ORDERED = {f"ordem_{name}": _ordered(name) for name in ORDERS}
+
 PREPARED = {
     f"{name}_prepared": NAMED[name]
     for name in ("ranking_escolas_regiao", "comparacao_redes", "estatisticas_disciplina")
@@ -187,6 +213,17 @@ STORAGE = {
     "load_catalog_nota": f"{duckdb_ctes('notas')} {_LOADED_NOTAS}",
     "ingest_notas": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
     "ingest_after_batch": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
+    "register_after_ingest": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
+    "csv_headers_notas": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
+    "register_headers_notas": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
+    "catalog_tables": f"""{duckdb_ctes("escolas", "alunos", "notas")}
+        SELECT row_number() OVER (ORDER BY table_name) AS posicao, * FROM (
+        SELECT 'escola' AS table_name, 'MANAGED' AS table_type, 'Tabela de escolas' AS comentario,
+        count(*) AS linhas FROM ({_CLEAN_ESCOLAS})
+        UNION ALL SELECT 'aluno', 'MANAGED', 'Tabela de alunos', count(*) FROM ({_CLEAN_ALUNOS})
+        WHERE idade IS NOT NULL AND length(genero) <= 10
+        UNION ALL SELECT 'nota', 'MANAGED', 'Tabela de notas dos alunos por disciplina', count(*)
+        FROM ({_CLEAN_NOTAS}))""",
     "register_nota": f"{duckdb_ctes('notas')} {_CLEAN_NOTAS}",
     "estatisticas_disciplina_catalog": NAMED["estatisticas_disciplina"],
     "load_defaults": f"""{duckdb_ctes("escolas")}

@@ -9,13 +9,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from boletim.operators.clean import CLEANERS, clean_alunos, clean_escolas, clean_notas
+from boletim.plans.etl import run_pipeline
 from boletim.plans.queries import NAMED_QUERIES
 from boletim.schemas import entity, raw_schema
-from boletim.sinks.parquet import overwrite, replace_layer, write_processed
+from boletim.sinks.parquet import write_part, write_processed
 from boletim.sinks.tables import create_warehouse
-from boletim.sources.catalog import list_tables, register_dataset, register_layers
-from boletim.sources.processed import BATCH_COLUMN, ingested_path, read_processed
-from boletim.sources.raw import read_raw, write_raw
+from boletim.sources import catalog, layer
+from boletim.sources.catalog import (
+    list_tables,
+    register_dataset,
+    register_layers,
+    register_processed,
+)
+from boletim.sources.layer import INGEST, current_version, publish
+from boletim.sources.processed import read_processed
+from boletim.sources.raw import list_files, read_raw, write_raw
 from boletim.storage import shared_folder
 from boletim.streaming.ingest import ingest_new
 from boletim.warehouse import Warehouse
@@ -35,11 +43,44 @@ def test_raw_columns_go_by_name(spark, tmp_path):
     assert rows(df) == [("A1", "Inglês", "7.5")]
 
 
-def test_raw_files_with_other_headers_fail(spark, tmp_path):
-    _write(str(tmp_path / "notas/a.csv"), "aluno_id,disciplina,nota\nA1,M,7\n")
-    _write(str(tmp_path / "notas/b.csv"), "disciplina,aluno_id,nota\nM,A2,7\n")
-    with pytest.raises(Exception, match="header"):
-        read_raw(spark, str(tmp_path), "notas").collect()
+THREE_HEADERS = {
+    "a b+c%20.csv": "aluno_id,disciplina,nota\nA1,M,7\n",
+    "b{1}.csv": "extra,Disciplina,aluno_id,nota\nx,M,A2,8.5\n",
+    "c.csv": "disciplina,aluno_id\nM,A3\n",
+    "d.csv": "aluno_id,disciplina,nota\nA4,M,9\n",
+    "empty.csv": "",
+}
+
+
+def _write_three(tmp_path):
+    for name, text in THREE_HEADERS.items():
+        _write(str(tmp_path / "notas" / name), text)
+
+
+def test_raw_files_of_several_headers_are_united_by_name(spark, tmp_path):
+    _write_three(tmp_path)
+    df = read_raw(spark, str(tmp_path), "notas")
+    assert df.schema == raw_schema("notas")
+    assert sorted(rows(df), key=str) == [
+        ("A1", "M", "7"), ("A2", "M", "8.5"), ("A3", "M", None), ("A4", "M", "9"),
+    ]
+    # Every file is scanned once: two files of one header together, the others alone.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+    inferred = read_raw(spark, str(tmp_path), "notas", infer=True)
+    assert inferred.schema["nota"].dataType.simpleString() == "double"
+    assert inferred.count() == 4
+
+
+def test_raw_files_without_the_key_are_refused(spark, tmp_path):
+    _write(str(tmp_path / "notas/a.csv"), "aluno_id,nota\nA1,7\n")
+    with pytest.raises(ValueError, match="disciplina"):
+        read_raw(spark, str(tmp_path), "notas")
+
+
+def test_raw_folder_without_files_has_no_rows(spark, tmp_path):
+    _write(str(tmp_path / "notas/empty.csv"), "")
+    assert read_raw(spark, str(tmp_path), "notas").count() == 0
 
 
 def test_raw_inference_is_optional(spark, tmp_path):
@@ -66,7 +107,8 @@ def test_processed_schools(spark, tmp_path):
     base = str(tmp_path)
     for _ in range(2):
         write_processed(_escolas(spark), base, "escola")
-    folders = {d for d in os.listdir(tmp_path / "escola") if d.startswith("regiao=")}
+    (_, part), = layer.entries(spark, base, 2).where("version = 2").select("kind", "part").collect()
+    folders = {d for d in os.listdir(tmp_path / f"escola/part={part}") if d.startswith("regiao=")}
     assert folders == {"regiao=Sul", "regiao=02", "regiao=__BLANK__"}
     back = read_processed(spark, base, "escola")
     assert back.columns[:4] == ["escola_id", "nome", "rede", "regiao"]
@@ -79,7 +121,8 @@ def test_processed_students_are_not_partitioned(spark, tmp_path):
     raw = spark.createDataFrame([("A1", "n", "12", "m", "E1")], raw_schema("alunos"))
     cleaned = clean_alunos(raw, RUN_TS)
     write_processed(cleaned, str(tmp_path), "aluno")
-    assert not [d for d in os.listdir(tmp_path / "aluno") if "=" in d]
+    part, = os.listdir(tmp_path / "aluno")
+    assert not [d for d in os.listdir(tmp_path / "aluno" / part) if "=" in d]
     assert rows(read_processed(spark, str(tmp_path), "aluno")) == rows(cleaned)
 
 
@@ -105,13 +148,16 @@ def test_grades_are_pruned_by_subject(spark, tmp_path):
 def test_one_writer_per_directory_unless_it_is_large(spark, tmp_path, conf):
     small = str(tmp_path / "small")
     write_processed(_notas(spark).repartition(8), small, "nota")
-    for d in os.listdir(f"{small}/nota"):
+    part, = os.listdir(f"{small}/nota")
+    for d in os.listdir(f"{small}/nota/{part}"):
         if d.startswith("disciplina="):
-            assert len([f for f in os.listdir(f"{small}/nota/{d}") if f.endswith(".parquet")]) == 1
+            files = os.listdir(f"{small}/nota/{part}/{d}")
+            assert len([f for f in files if f.endswith(".parquet")]) == 1
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB")
     large = str(tmp_path / "large")
     write_processed(_notas(spark, 20_000).repartition(8), large, "nota")
-    d = f"{large}/nota/disciplina=Matemática"
+    part, = os.listdir(f"{large}/nota")
+    d = f"{large}/nota/{part}/disciplina=Matemática"
     assert len([f for f in os.listdir(d) if f.endswith(".parquet")]) > 1
 
 
@@ -159,11 +205,11 @@ def test_register_layers(spark, tmp_path, db):
     assert spark.table("t_processed.nota").count() == 400
     assert spark.table("t_raw.notas").count() == 400
     assert sorted(rows(spark.table("t_processed.escola").select("escola_id", "regiao"))) == [
-        ("E1", "Sul"), ("E2", "02"), ("E3", "__BLANK__"),
+        ("E1", "Sul"), ("E2", "02"), ("E3", ""),
     ]
     spark.range(1).createOrReplaceTempView("nota")
     assert rows(list_tables(spark, "t_processed", ["nota", "escola", "none"])) == [
-        ("escola", "EXTERNAL"), ("nota", "EXTERNAL"),
+        ("escola", "VIEW"), ("nota", "VIEW"),
     ]
     spark.catalog.dropTempView("nota")
 
@@ -250,29 +296,212 @@ def _grade_rows(df):
     return sorted(rows(df.select("aluno_id", "disciplina", "nota")))
 
 
-def test_batch_and_ingest_share_a_layer(spark, tmp_path):
-    base, out, seen = (str(tmp_path / d) for d in ("raw", "out", "seen"))
-    header = "aluno_id,disciplina,nota\n"
+HEADER = "aluno_id,disciplina,nota\n"
 
-    def batch():
-        source = read_raw(spark, base, "notas")
-        cleaned = clean_notas(source, RUN_TS)
-        replace_layer(spark, cleaned, out, "nota", source.inputFiles())
 
-    def ingest():
-        ingest_new(spark, base, "notas", out, seen, RUN_TS)
-        return _grade_rows(read_processed(spark, out, "nota"))
+def _batch(spark, base, out, meanwhile=lambda: None):
+    """A run over the raw grades; ``meanwhile`` happens after its files are listed."""
+    files = list_files(spark, f"{base}/notas")
+    cleaned = clean_notas(read_raw(spark, base, "notas"), RUN_TS)
+    part = write_part(cleaned, out, "nota", files=files)
+    meanwhile()
+    return publish(spark, out, [part])
 
-    _write(f"{base}/notas/a.csv", header + "A1,Inglês,7\nA2,Inglês,6\n")
-    batch()
-    assert ingest() == [("A1", "Inglês", 7.0), ("A2", "Inglês", 6.0)]
-    _write(f"{base}/notas/b.csv", header + "A3,Inglês,8\n")
-    three = [("A1", "Inglês", 7.0), ("A2", "Inglês", 6.0), ("A3", "Inglês", 8.0)]
-    assert ingest() == three
-    batch()
-    assert _grade_rows(read_processed(spark, out, "nota")) == three
-    _write(f"{base}/notas/c.csv", header + "A4,História,9\n")
-    assert ingest() == [*three, ("A4", "História", 9.0)]
+
+def _layer_rows(spark, out, version=None):
+    return _grade_rows(read_processed(spark, out, "nota", version))
+
+
+@pytest.fixture
+def grades(spark, tmp_path):
+    """Raw folder, layer, and functions to add a raw file and to ingest."""
+    base, out = str(tmp_path / "raw"), str(tmp_path / "out")
+
+    def add(name, *ids):
+        _write(f"{base}/notas/{name}.csv", HEADER + "".join(f"{i},Inglês,7\n" for i in ids))
+
+    def ingest(checkpoint="seen"):
+        ingest_new(spark, base, "notas", out, str(tmp_path / checkpoint), RUN_TS)
+
+    return base, out, add, ingest
+
+
+def _ids(spark, out, version=None):
+    return "".join(r[0] for r in _layer_rows(spark, out, version))
+
+
+def test_batch_and_ingest_share_a_layer(spark, grades):
+    base, out, add, ingest = grades
+    add("a", "A", "B")
+    _batch(spark, base, out)
+    ingest()
+    assert _ids(spark, out) == "AB"
+    add("b", "C")
+    ingest()
+    assert _ids(spark, out) == "ABC"
+    _batch(spark, base, out)
+    assert _ids(spark, out) == "ABC"
+    add("c", "D")
+    ingest()
+    assert _ids(spark, out) == "ABCD"
+
+
+def test_file_that_arrives_during_a_run_stays(spark, grades):
+    base, out, add, ingest = grades
+    add("a", "A")
+    _batch(spark, base, out)
+
+    def meanwhile():
+        add("b", "B")
+        ingest()
+        assert _ids(spark, out) == "AB"
+
+    _batch(spark, base, out, meanwhile)
+    ingest()
+    assert _ids(spark, out) == "AB"
+    _batch(spark, base, out)
+    assert _ids(spark, out) == "AB"
+
+
+def test_file_that_run_and_ingest_both_read_counts_once(spark, grades):
+    base, out, add, ingest = grades
+    add("a", "A")
+    add("b", "B")
+    # The ingest does not know of the run yet and takes both files; the run has read them too.
+    _batch(spark, base, out, ingest)
+    assert _ids(spark, out) == "AB"
+    # The other way round: the ingest is published after the run.
+    add("c", "C")
+    files = [f for f in list_files(spark, f"{base}/notas") if f.endswith("c.csv")]
+    rows_of_c = read_raw(spark, base, "notas").where("aluno_id = 'C'")
+    origin = clean_notas(rows_of_c, RUN_TS).withColumn("raw_file", F.lit(files[0]))
+    late = write_part(origin, out, "nota", INGEST, files)
+    _batch(spark, base, out)
+    publish(spark, out, [late])
+    assert _ids(spark, out) == "ABC"
+
+
+def test_run_that_has_read_a_part_of_a_batch(spark, grades, db):
+    base, out, add, ingest = grades
+    add("a", "A")
+    add("b", "B")
+    ingest()
+    os.rename(f"{base}/notas/b.csv", f"{base}/b.csv")
+    _batch(spark, base, out)
+    assert _ids(spark, out) == "AB"
+    register_processed(spark, "t_processed", out, "nota")
+    assert _grade_rows(spark.table("t_processed.nota")) == _layer_rows(spark, out)
+    # What a run has taken over goes with the next run that does not find it.
+    os.rename(f"{base}/b.csv", f"{base}/notas/b.csv")
+    _batch(spark, base, out)
+    os.rename(f"{base}/notas/b.csv", f"{base}/b.csv")
+    _batch(spark, base, out)
+    assert _ids(spark, out) == "A"
+
+
+def test_file_taken_by_two_ingests_counts_once(spark, grades):
+    base, out, add, ingest = grades
+    add("a", "A")
+    files = list_files(spark, f"{base}/notas")
+    one = clean_notas(read_raw(spark, base, "notas"), RUN_TS)
+    rows_of = one.withColumn("raw_file", F.lit(files[0]))
+    parts = [write_part(rows_of, out, "nota", INGEST, files) for _ in range(2)]
+    for part in parts:
+        publish(spark, out, [part])
+    assert _ids(spark, out) == "A"
+
+
+def test_new_checkpoint_takes_nothing_twice(spark, grades):
+    base, out, add, ingest = grades
+    add("a", "A")
+    ingest()
+    add("b", "B")
+    ingest("other")
+    assert _ids(spark, out) == "AB"
+    ingest()
+    ingest("third")
+    assert _ids(spark, out) == "AB"
+
+
+def test_readers_see_one_version(spark, grades):
+    base, out, add, ingest = grades
+    add("a", "A")
+    assert _batch(spark, base, out) == 1
+    before = read_processed(spark, out, "nota")
+    add("a", "B")
+
+    def still_old():
+        assert _ids(spark, out) == "A"
+
+    assert _batch(spark, base, out, still_old) == 2
+    assert _ids(spark, out) == "B"
+    assert [r[0] for r in _grade_rows(before)] == ["A"]
+    assert _ids(spark, out, 1) == "A" and current_version(spark, out) == 2
+    with pytest.raises(FileNotFoundError):
+        read_processed(spark, out, "nota", 0)
+
+
+def test_datasets_of_a_run_appear_together(spark, tmp_path):
+    out = str(tmp_path)
+    parts = [write_part(_escolas(spark), out, "escola"), write_part(_notas(spark, 5), out, "nota")]
+    with pytest.raises(FileNotFoundError):
+        read_processed(spark, out, "nota")
+    assert publish(spark, out, parts) == 1
+    assert read_processed(spark, out, "escola").count() == 3
+    assert read_processed(spark, out, "nota").count() == 5
+    assert len(os.listdir(f"{out}/log")) == 1
+
+
+def test_expired_parts_are_removed(spark, grades):
+    base, out, add, ingest = grades
+    for name in "abc":
+        add(name, name.upper())
+        _batch(spark, base, out) if name != "b" else ingest()
+    unpublished = write_part(_notas(spark, 3), out, "nota")
+    assert len(os.listdir(f"{out}/nota")) == 4
+    assert len(layer.expire(spark, out, keep=2)) == 0
+    assert len(layer.expire(spark, out)) == 2
+    assert _ids(spark, out) == "ABC" and layer.expire(spark, out) == []
+    publish(spark, out, [unpublished])
+    assert read_processed(spark, out, "nota").count() == 3
+
+
+def test_layer_without_a_log_is_read_as_it_is(spark, tmp_path, db):
+    _notas(spark, 9).write.partitionBy("disciplina").parquet(str(tmp_path / "nota"))
+    assert read_processed(spark, str(tmp_path), "nota").count() == 9
+    assert register_processed(spark, "t_processed", str(tmp_path), "nota").created
+    assert spark.table("t_processed.nota").count() == 9
+    assert spark.catalog.getTable("t_processed.nota").tableType == "EXTERNAL"
+    # The table becomes a view once the layer has a log.
+    write_processed(_notas(spark, 4), str(tmp_path), "nota")
+    assert not register_processed(spark, "t_processed", str(tmp_path), "nota").created
+    assert spark.table("t_processed.nota").count() == 4
+    assert spark.catalog.getTable("t_processed.nota").tableType == "VIEW"
+
+
+def test_registered_layer_holds_ingested_rows(spark, tmp_path, db):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    write_raw(_escolas(spark), raw, "escolas")
+    students = spark.createDataFrame([("A1", "n", "12", "m", "E1")], raw_schema("alunos"))
+    write_raw(students, raw, "alunos")
+    _write(f"{raw}/notas/a.csv", HEADER + "A1,Inglês,7\nA2,Inglês,6\n")
+    run_pipeline(spark, raw, out, RUN_TS)
+    _write(f"{raw}/notas/b.csv", "nota,disciplina,aluno_id\n8, História ,A1\n")
+    ingest_new(spark, raw, "notas", out, str(tmp_path / "seen"), RUN_TS)
+    for created in (True, False):
+        done = register_layers(spark, raw, out, "t_raw", "t_processed")
+        assert [r.created for r in done] == [created] * 6
+    assert _grade_rows(spark.table("t_processed.nota")) == _layer_rows(spark, out)
+    assert spark.table("t_processed.nota").count() == 3
+    assert sorted(rows(spark.table("t_raw.notas").select("aluno_id", "nota"))) == [
+        ("A1", "7"), ("A1", "8"), ("A2", "6"),
+    ]
+    one, other = Warehouse.from_catalog(spark, "t_processed"), Warehouse.from_processed(spark, out)
+    for name, question in NAMED_QUERIES.items():
+        assert rows(question(one)) == rows(question(other)), name
+    plan = spark.table("t_processed.nota").where("disciplina = 'Inglês'").select("nota")
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*part#\d+ IN", plan)
 
 
 def test_ingest_goes_by_the_header(spark, tmp_path):
@@ -282,19 +511,6 @@ def test_ingest_goes_by_the_header(spark, tmp_path):
     assert _grade_rows(read_processed(spark, out, "nota")) == [("A1", "Ing", 7.5)]
 
 
-def test_replayed_batch_is_not_taken_twice(spark, tmp_path):
-    out = str(tmp_path / "out")
-    cleaned = clean_notas(spark.createDataFrame(
-        [("A1", "Inglês", "7"), ("A2", "Inglês", "8")], "aluno_id string, disciplina string, nota string"
-    ).repartition(2), RUN_TS)
-    folder = f"{ingested_path(out, 'nota')}/{BATCH_COLUMN}=x-0"
-    for _ in range(2):
-        overwrite(cleaned, "nota", folder)
-    assert read_processed(spark, out, "nota").count() == 2
-    files = os.listdir(f"{folder}/disciplina=Inglês")
-    assert sum(f.startswith("part-") for f in files) == 1
-
-
 def test_register_refuses_managed_tables(spark, tmp_path, db):
     spark.sql("CREATE DATABASE IF NOT EXISTS t_raw")
     spark.sql("CREATE TABLE t_raw.d (v DECIMAL(4,1)) USING parquet")
@@ -335,3 +551,94 @@ def test_double_grades_are_refused(spark):
     frame = spark.range(0).selectExpr("'a' AS aluno_id", "'b' AS disciplina", "1.5D AS nota")
     with pytest.raises(ValueError, match="double"):
         Warehouse(frame, frame, frame)
+
+
+def test_three_headers_are_one_table(spark, tmp_path, db):
+    _write_three(tmp_path)
+    path = str(tmp_path / "notas")
+    assert register_dataset(spark, "t_raw", "notas", path, "csv").created
+    table = spark.table("t_raw.notas")
+    assert {f.name.lower(): f.dataType.simpleString() for f in table.schema} == {
+        "aluno_id": "string", "disciplina": "string", "nota": "double", "extra": "string",
+    }
+    got = sorted(rows(table.select("aluno_id", "disciplina", "nota", "extra")), key=str)
+    assert got == [
+        ("A1", "M", 7.0, None), ("A2", "M", 8.5, "x"), ("A3", "M", None, None), ("A4", "M", 9.0, None),
+    ]
+    again = register_dataset(spark, "t_raw", "notas", path, "csv")
+    assert not (again.created or again.added or again.removed or again.retyped)
+    os.rename(f"{path}/b{{1}}.csv", str(tmp_path / "gone.csv"))
+    _write(f"{path}/e.csv", "aluno_id,disciplina,nota,turma\nA5,M,x,T\n")
+    seen = register_dataset(spark, "t_raw", "notas", path, "csv", on_change="log")
+    assert (seen.added, seen.retyped) == (["turma"], ["nota"]) and "extra" in seen.removed
+    assert "turma" not in spark.table("t_raw.notas").columns
+    register_dataset(spark, "t_raw", "notas", path, "csv")
+    got = rows(spark.table("t_raw.notas").where("turma = 'T'").select("aluno_id", "nota", "extra"))
+    assert got == [("A5", "x", None)] and spark.table("t_raw.notas").count() == 4
+    names = [t.name for t in spark.catalog.listTables("t_raw")]
+    assert len(names) == 4 and not [n for n in names if n.endswith(("__trial", "__aside"))]
+
+
+def test_one_header_becomes_several(spark, tmp_path, db):
+    path = str(tmp_path / "c")
+    _write(f"{path}/a.csv", "id,v\n1,2.5\n")
+    register_dataset(spark, "t_raw", "c", path, "csv")
+    _write(f"{path}/b.csv", "v,id\n3,2\n")
+    seen = register_dataset(spark, "t_raw", "c", path, "csv")
+    assert not seen.created and not seen.added
+    assert sorted(rows(spark.table("t_raw.c").select("id", "v"))) == [(1, 2.5), (2, 3.0)]
+
+
+class _Failing:
+    """A session whose n-th statement that changes the catalog fails."""
+
+    def __init__(self, spark, fail_at):
+        self._spark, self.left = spark, fail_at
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+    def sql(self, text, *args, **kwargs):
+        if re.match("CREATE TABLE|CREATE VIEW|ALTER TABLE .* RENAME|DROP", text):
+            self.left -= 1
+            if self.left == 0:
+                raise RuntimeError("catalog lost")
+        return self._spark.sql(text, *args, **kwargs)
+
+
+@pytest.mark.parametrize("fail_at", range(1, 6))
+def test_failed_change_leaves_a_readable_table(spark, tmp_path, db, fail_at):
+    path = str(tmp_path / "d")
+    spark.sql("SELECT '7' v, 'a' p UNION ALL SELECT '8', 'b'").write.partitionBy("p").parquet(path)
+    register_dataset(spark, "t_raw", "d", path, "parquet", partition_by=["p"])
+    binary = spark.sql("SELECT binary('7') v, 'a' p").schema
+    failing, failed = _Failing(spark, fail_at), False
+    try:
+        register_dataset(failing, "t_raw", "d", path, "parquet", schema=binary)
+    except RuntimeError:
+        failed = True
+    # Creating, setting aside and renaming in fail; a drop of what is left over does not matter.
+    assert failed == (fail_at <= 3)
+    assert spark.table("t_raw.d").count() == 2
+    kind = spark.table("t_raw.d").schema["v"].dataType.simpleString()
+    assert kind == ("string" if failed else "binary")
+    register_dataset(spark, "t_raw", "d", path, "parquet", schema=binary)
+    assert spark.table("t_raw.d").schema["v"].dataType.simpleString() == "binary"
+    assert [t.name for t in spark.catalog.listTables("t_raw")] == ["d"]
+
+
+def test_change_that_was_cut_short_is_put_right(spark, tmp_path, db):
+    path = str(tmp_path / "d")
+    spark.range(3).write.parquet(path)
+    register_dataset(spark, "t_raw", "d", path, "parquet")
+    spark.sql(f"ALTER TABLE t_raw.d RENAME TO t_raw.d{catalog.ASIDE}")
+    assert not register_dataset(spark, "t_raw", "d", path, "parquet").created
+    assert spark.table("t_raw.d").count() == 3
+    assert [t.name for t in spark.catalog.listTables("t_raw")] == ["d"]
+
+
+def test_paths_and_columns_with_quotes(spark, tmp_path, db):
+    path = str(tmp_path / "it's d")
+    spark.range(2).selectExpr("id AS `a``b`", "'x' AS `p q`").write.partitionBy("p q").parquet(path)
+    register_dataset(spark, "t_raw", "d", path, "parquet", partition_by=["p q"])
+    assert spark.table("t_raw.d").where("`p q` = 'x'").count() == 2

@@ -22,6 +22,7 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--raw", required=True, help="folder of the raw CSV datasets")
     parser.add_argument("--processed", required=True, help="folder of the cleaned Parquet datasets")
     parser.add_argument("--run-ts", type=datetime.fromisoformat, help="ingestion time, UTC")
+    parser.add_argument("--run-id", help="name of the run; a load tried again under it adds nothing")
     parser.add_argument("--on-error", choices=("log", "raise"), default="log")
     target = parser.add_mutually_exclusive_group()
     target.add_argument("--catalog-db", help="load tables of this catalog database")
@@ -42,7 +43,7 @@ def target_of(spark: SparkSession, args: argparse.Namespace) -> Target | None:
             login["password"] = os.environ[args.jdbc_password_env]
         if args.jdbc_partitions:
             login["numPartitions"] = str(args.jdbc_partitions)
-        return JdbcTarget(args.jdbc_url, login)
+        return JdbcTarget(args.jdbc_url, login, args.run_id)
     return None
 
 

@@ -5,6 +5,7 @@ JDBC writes are recorded, not sent: no database is started for the tests.
 
 from __future__ import annotations
 
+import re
 from unittest.mock import patch
 
 import pytest
@@ -102,42 +103,88 @@ def test_blank_region_is_loaded_as_text(spark, tmp_path):
 
 
 class Recorder:
-    """Stands in for a database behind ``DataFrameWriter.jdbc``."""
+    """Stands in for a database: ``DataFrameWriter.jdbc`` and the statements run in it."""
 
     def __init__(self, fail_on=None):
         self.calls, self.fail_on = [], fail_on
+        self.log, self.runs, self.moved = [], set(), []
 
     def __call__(self, writer, url, table, mode=None, properties=None):
-        if table == self.fail_on:
+        if self.fail_on and table.startswith(self.fail_on):
             raise RuntimeError("connection lost")
         self.calls.append((writer._df, url, table, mode, properties))
+        self.log.append(f"{mode} {table}")
+
+    def execute(self, spark, url, properties, statements):
+        for text in statements:
+            if self.fail_on and text.startswith(self.fail_on):
+                raise RuntimeError("connection lost")
+            self.log.append(text)
+            claim = re.match(r"WITH claimed AS \(INSERT INTO boletim_loads .* VALUES \((.*?)\)", text)
+            if claim:  # what the database does: nothing is moved for a run that it has noted
+                new = claim[1] not in self.runs
+                self.runs.add(claim[1])
+                self.moved += re.findall(r"\) INSERT INTO (\w+)", text) if new else []
+                return int(new)
+        return 0
 
 
 def _run_with(recorder, spark, tmp_path, **options):
-    target = JdbcTarget("jdbc:postgresql://db/x", {"user": "u", "password": "p"})
+    login = {"user": "u", "password": "p"}
+    target = JdbcTarget("jdbc:postgresql://db/x", login, "Run 1'", recorder.execute)
     with patch.object(DataFrameWriter, "jdbc", lambda self, *a, **k: recorder(self, *a, **k)):
         return run_pipeline(spark, *write_raw_files(tmp_path), RUN_TS, target, **options)
 
 
-def test_jdbc_appends_parents_first(spark, tmp_path):
+def test_jdbc_loads_parents_first_by_way_of_a_stage(spark, tmp_path):
     recorder = Recorder()
     _run_with(recorder, spark, tmp_path)
-    assert [(c[2], c[3]) for c in recorder.calls] == [(n, "append") for n in ENTITIES]
+    assert [(c[2], c[3]) for c in recorder.calls] == [(f"{n}_stage_run1", "overwrite") for n in ENTITIES]
     df, _, _, _, properties = recorder.calls[2]
     assert df.columns == ["aluno_id", "disciplina", "nota", "ingestion_time"]
     assert df.schema["nota"].dataType.simpleString() == "decimal(4,1)"
     assert properties["sslmode"] == "require" and properties["ssl"] == "true"
     assert properties["driver"] == "org.postgresql.Driver" and properties["user"] == "u"
+    assert recorder.moved == list(ENTITIES)
+    assert recorder.log[-4:] == [
+        "overwrite nota_stage_run1",
+        "CREATE TABLE IF NOT EXISTS boletim_loads (run_id VARCHAR(100) NOT NULL, "
+        "table_name VARCHAR(50) NOT NULL, PRIMARY KEY (run_id, table_name))",
+        "WITH claimed AS (INSERT INTO boletim_loads (run_id, table_name) VALUES ('Run 1\'\'', 'nota') "
+        "ON CONFLICT DO NOTHING RETURNING run_id) "
+        "INSERT INTO nota (aluno_id, disciplina, nota, ingestion_time) "
+        "SELECT DISTINCT aluno_id, disciplina, nota, ingestion_time FROM nota_stage_run1 "
+        "WHERE EXISTS (SELECT 1 FROM claimed)",
+        "DROP TABLE nota_stage_run1",
+    ]
 
 
-def test_jdbc_failure_is_raised_or_logged(spark, tmp_path):
-    with pytest.raises(RuntimeError, match="connection lost"):
-        _run_with(Recorder("aluno"), spark, tmp_path)
-    recorder = Recorder("aluno")
+def test_jdbc_load_tried_again_adds_what_is_missing(spark, tmp_path):
+    recorder = Recorder("aluno_stage")
     summary = _run_with(recorder, spark, tmp_path, on_error="log")
     assert [s.status for s in summary.loads] == ["loaded", "failed", "skipped"]
-    assert [c[2] for c in recorder.calls] == ["escola"]
-    assert summary.counts.count() == 3
+    assert recorder.moved == ["escola"] and summary.counts.count() == 3
+    recorder.fail_on = "DROP TABLE aluno"
+    _run_with(recorder, spark, tmp_path, on_error="log")
+    assert recorder.moved == ["escola", "aluno"]
+    recorder.fail_on = None
+    again = _run_with(recorder, spark, tmp_path)
+    assert recorder.moved == ["escola", "aluno", "nota"]
+    assert [s.message for s in again.loads] == ["nothing to add for run Run 1'"] * 2 + [""]
+
+
+def test_jdbc_failure_is_raised(spark, tmp_path):
+    with pytest.raises(RuntimeError, match="connection lost"):
+        _run_with(Recorder("aluno"), spark, tmp_path)
+
+
+def test_other_databases_note_the_run_in_the_same_transaction():
+    from boletim.sinks.load import publishing
+
+    move, note = publishing("jdbc:other:x", "s", "t", ["a", "b"], "r")
+    known = "WHERE NOT EXISTS (SELECT 1 FROM boletim_loads WHERE run_id = 'r' AND table_name = 't')"
+    assert move == f"INSERT INTO t (a, b) SELECT DISTINCT a, b FROM s {known}"
+    assert note == f"INSERT INTO boletim_loads (run_id, table_name) SELECT DISTINCT 'r', 't' FROM s {known}"
 
 
 def test_jdbc_options_of_other_databases(spark):
@@ -222,3 +269,51 @@ def test_stored_keys_are_cut_to_the_batch(spark, tmp_path, catalog):
     )
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftSemi" in plan and found.count() == 1
+    # The filter stands over the scan of the stored keys, below any exchange.
+    lines, below = plan.split("\n"), []
+    for i, line in enumerate(lines):
+        if "Filter" in line and "scalar-subquery" in line:
+            at = line.index("Filter")
+            below.append(next(x for x in lines[i + 1 :] if x[at : at + 3] == "+- "))
+    assert any("Relation spark_catalog.t_load.nota" in x for x in below)
+
+
+def test_bloom_filter_loses_no_key(spark):
+    from boletim.operators.bloom import bloom_filter, might_hold
+
+    keys = spark.range(0, 3000).selectExpr("IF(id = 7, NULL, concat('A', id)) AS a", "id % 9 AS b")
+    others = spark.range(3000, 40_000).selectExpr("concat('A', id) AS a", "id % 9 AS b")
+    for bits, most in ((1 << 16, 0.01), (1 << 10, 1.0)):
+        words = bloom_filter(keys.union(keys), ["a", "b"], bits)
+        assert len(words.first()["words"]) == bits >> 6
+        held = might_hold(words, ["a", "b"], bits)
+        assert keys.where(held).count() == 3000
+        assert others.where(held).count() <= most * 37_000
+    nothing = bloom_filter(keys.limit(0), ["a", "b"], 1 << 10)
+    assert keys.where(might_hold(nothing, ["a", "b"], 1 << 10)).count() == 0
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    from boletim.plans import etl
+
+    raw, processed = write_raw_files(tmp_path)
+    reads = []
+    original = etl.read_files
+    with patch.object(etl, "read_files", lambda *a, **k: reads.append(a[2]) or original(*a, **k)):
+        done = etl.clean_to_part(spark, raw, processed, "nota", RUN_TS)
+    assert (done.read, done.written) == (3, 2) and reads == ["nota"]
+
+
+def test_rows_of_repeated_tasks_do_not_count(spark, tmp_path):
+    """Where the tasks' count is above what the files hold, the raw rows are counted anew."""
+    from boletim.plans import etl
+
+    class Twice(etl.Observation):
+        @property
+        def get(self):
+            return {k: 2 * v for k, v in super().get.items()}
+
+    raw, processed = write_raw_files(tmp_path)
+    with patch.object(etl, "Observation", Twice):
+        done = etl.clean_to_part(spark, raw, processed, "nota", RUN_TS)
+    assert (done.read, done.written) == (3, 2)

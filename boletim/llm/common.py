@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import public_tokenizers
@@ -36,3 +38,16 @@ def let_workers_import(spark: SparkSession) -> None:
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if folder not in known:
         environment["PYTHONPATH"] = os.pathsep.join([folder, *known])
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Have Spark remove what a job has shuffled once the job is done, not when the driver happens
+    to collect its garbage. Jobs of the session that run meanwhile do the same, which is harmless."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

@@ -49,9 +49,15 @@ class ImpactIndex:
         # Rows of impact 0 gain nothing and need no segment.
         self.live = np.flatnonzero(self.impact != 0)
 
-    def top(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """The k best ``(score, row)`` but for rows of the id ``own``; ties to the smaller id."""
-        members = np.flatnonzero(self.ids != own)
+    def place(self, key: int, query: np.ndarray) -> int:
+        """The row of an id and vector, or -1."""
+        same = np.flatnonzero(self.ids == key)
+        found = same[(self.vectors[same] == query).all(axis=1)]
+        return int(found[0]) if len(found) else -1
+
+    def top(self, query: np.ndarray, left_out: int, k: int) -> list[tuple[int, int]]:
+        """The k best ``(score, row)`` but for the row ``left_out``; ties to the smaller id."""
+        members = np.flatnonzero(np.arange(len(self.ids)) != left_out)
         if len(members) <= k:
             return self._exact(query, members, k)
         gain = query[self.dim[self.live]] * self.impact[self.live] * LEVEL
@@ -95,13 +101,14 @@ def search(
     k: int = 5,
     scale: int = 256,
 ) -> DataFrame:
-    """``query_id, rank, key, score`` of the k best rows for each row where ``is_query`` holds.
+    """``query_id, rank, key, score`` of the k best other rows for each row where ``is_query`` holds.
 
     Components become ``floor(scale * x)``, the score is the inner product; ties go to the smaller
     id. A row without an id, and a vector that is null or holds a null or non-finite component,
-    takes no part; vectors of another length than the query's score nothing. Rows with the query's
-    id are its own. A row that repeats another in id and vector is found as often as it is there,
-    but asks once. Queries meet rows in blocks: each block of rows comes to each block of queries.
+    takes no part; vectors of another length than the query's score nothing. Every row asks, with a
+    list of its own, and finds every row but itself: rows of one id, and rows equal in id and vector,
+    are different rows. Other columns are not read, and an empty table gives no rows. Queries meet
+    rows in blocks: each block of rows comes to each block of queries.
     """
     let_workers_import(vectors.sparkSession)
     x = F.col(vector)
@@ -118,7 +125,8 @@ def search(
     place = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     stored = rows.withColumn("block", place(blocks)).withColumn("chunk", each(chunks))
-    asked = rows.where("asks").withColumn("chunk", place(chunks)).withColumn("block", each(blocks))
+    name = F.xxhash64("id", "v").alias("name")
+    asked = rows.where("asks").select("id", "v", name, place(chunks).alias("chunk"), each(blocks).alias("block"))
 
     def meet(have: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -127,20 +135,29 @@ def search(
             held = np.array(part["v"].tolist(), "int64").reshape(len(part), length)
             index = ImpactIndex(part["id"].to_numpy("int64"), held)
             copies = part["copies"].to_numpy()
-            for own, query in zip(ask["id"], ask["v"]):
+            for own, name, query in zip(ask["id"], ask["name"], ask["v"]):
                 if len(query) == length:
-                    best = index.top(np.asarray(query, "int64"), own, k)
+                    query = np.asarray(query, "int64")
+                    at = index.place(own, query)
+                    # Of several equal rows, all but the one that asks can be found.
+                    best = index.top(query, at if at >= 0 and copies[at] == 1 else -1, k)
                     found += [
-                        (own, int(index.ids[row]), score)
-                        for score, row in best for _ in range(min(int(copies[row]), k))
+                        (own, name, int(index.ids[row]), score)
+                        for score, row in best for _ in range(min(int(copies[row]) - (row == at), k))
                     ]
-        return pd.DataFrame(found, columns=["query_id", "id", "score"]).astype("int64")
+        return pd.DataFrame(found, columns=["query_id", "name", "id", "score"]).astype("int64")
 
     met = stored.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (
-        met.applyInPandas(meet, "query_id bigint, id bigint, score bigint")
+    best = Window.partitionBy("query_id", "name").orderBy(F.desc("score"), "id")
+    lists = (
+        met.applyInPandas(meet, "query_id bigint, name bigint, id bigint, score bigint")
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("id").alias(key), "score")
+    )
+    times = rows.where("asks AND copies > 1").select(
+        F.col("id").alias("query_id"), name, F.explode(F.sequence(F.lit(1), "copies")).alias("time")
+    )
+    # Rows equal in id and vector ask alike: one list for each of them.
+    return lists.join(times, ["query_id", "name"], "left").select(
+        "query_id", "rank", F.col("id").alias(key), "score"
     )

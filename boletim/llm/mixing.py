@@ -2,7 +2,7 @@
 
 Tokens are summed per source, each source gets a target and a repetition rate, and every document
 is taken floor(rate) times plus once more with the probability of the rate's fraction. The coin is
-a hash of the seed and the document's id, so that reruns agree and no state is kept.
+a hash of the seed and the document's id and text, so that reruns agree and no state is kept.
 
 Rows of a source are only ever summed with a map-side step, so a source with a third of all rows is
 no heavier for one task than another. What is ordered in one place is the table of sources, one row
@@ -74,9 +74,12 @@ def source_targets(
     )
 
 
-def coin(key: Column, seed: str = "mix") -> Column:
-    """A number in [0, 1) from the hash of a key; a null key counts as empty text."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+def coin(key: Column, body: Column, seed: str = "mix") -> Column:
+    """A number in [0, 1) from the hash of a key and a text; a null counts as empty."""
+    empty = F.lit("")
+    text = F.concat(
+        F.lit(f"{seed}:"), F.coalesce(key.cast("string"), empty), F.lit(":"), F.coalesce(body, empty)
+    )
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") / F.lit(2.0**52)
 
 
@@ -92,8 +95,8 @@ def mix(
 ) -> DataFrame:
     """``doc`` (the whole row), ``size, source_size, target, copies`` of every row of ``docs``.
 
-    Null texts have size 0. Repeated rows, and rows without a key, fall alike. An empty table gives
-    no rows. The row's columns stay inside ``doc``, so their names can't clash.
+    Null texts have size 0. Rows equal in key and text fall alike; rows of one key, or without one,
+    that differ in text fall apart. An empty table gives no rows. The row's columns stay inside ``doc``, so their names can't clash.
     """
     sized = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
@@ -105,7 +108,7 @@ def mix(
         "mix_source", weights, share, most,
     ).withColumnRenamed("mix_source", "target_source")
     whole = F.floor("rate")
-    extra = (coin(F.col("doc")[key], seed) < F.col("rate") - whole).cast("bigint")
+    extra = (coin(F.col("doc")[key], F.col("doc")[text], seed) < F.col("rate") - whole).cast("bigint")
     same = F.col("mix_source").eqNullSafe(F.col("target_source"))
     return sized.join(targets, same).select(
         "doc", "size", "source_size", "target", (whole + extra).alias("copies")

@@ -9,7 +9,7 @@ from boletim.llm.spelling import DAMAGED, LEAST_COUNT, LEAST_LETTERS, LOWER, RUN
 _WEIGHT = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(WEIGHTS))
 
 OP10 = f"""WITH sized AS (
-    SELECT doc_id, source,
+    SELECT doc_id, source, coalesce(text, '') AS body,
         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (
@@ -32,7 +32,7 @@ rated AS (
     SELECT *, CASE WHEN source_size = 0 THEN 1.0 ELSE target / source_size END AS rate
     FROM targets)
 SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN
-        ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT
+        ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || body), 1, 13))::BIGINT
         / 4503599627370496::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM sized JOIN rated ON sized.source IS NOT DISTINCT FROM rated.source"""
 

@@ -25,11 +25,13 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -43,12 +45,16 @@ END = 2
 BLOCK = 1 << 16
 #: Ids that a reader unpacks at a time, if no document is longer.
 AT_ONCE = 1 << 20
-#: Characters of the words that a worker remembers; beyond it, it starts again.
+#: Bytes of the texts that a worker encodes at a time.
+AT_A_TIME = 3_000_000
+#: Bytes of the stretches of text that a worker remembers; beyond it, it starts again.
 REMEMBERED = 8_000_000
 
 MAGIC = b"BITIDS01"
 _HEADER = struct.Struct("<8sII")
 _TRAILER = struct.Struct("<QQQ8s")
+#: Widths of whole bytes, where the packed bits are plain numbers.
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 MANIFEST = "part int, file string, ids bigint, documents bigint"
 
 
@@ -59,6 +65,8 @@ def bits_for(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """Ids in ``bits`` bits each, up to 32; the last byte is filled with zeros."""
+    if bits in _WHOLE:
+        return ids.astype(_WHOLE[bits]).tobytes()
     octets = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
     return np.packbits(
         np.unpackbits(octets, axis=1, bitorder="little")[:, :bits], bitorder="little"
@@ -69,6 +77,9 @@ def unpack(packed: bytes, first: int, count: int, bits: int) -> np.ndarray:
     """``count`` ids from the one at ``first``: eight bytes from where each begins, shifted."""
     if not count:
         return np.zeros(0, "<u4")
+    if bits in _WHOLE:
+        width = bits // 8
+        return np.frombuffer(packed, _WHOLE[bits], count, first * width).astype("<u4")
     padded = packed + bytes(8)
     eights = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
     at = np.arange(first, first + count, dtype=np.int64) * bits
@@ -174,50 +185,93 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+# What Python or the vocabulary's pattern takes for white space.
+_SPACE = "[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 class ByteEncoder:
     """Ids of texts, the same as the library's, each distinct stretch between spaces encoded once.
 
-    The vocabulary's pattern lets a space only begin a pre-token or stand in a run of white space,
-    so a text may be cut before any space that follows no white space. Texts with other spaces, or
-    with what may be a special string, go to the library whole.
+    In the vocabulary's pattern a space or a line break only begins a pre-token or stands in a run of
+    white space, so a text may be cut before either where no white space precedes it. Texts with
+    spaces elsewhere, or with what may be a special string, go to the library whole. The stretches
+    are told apart, looked up and strung together by Arrow and NumPy; Python sees only new ones.
     """
 
-    _whole = re.compile(r"\s |<\|")
+    CUT = "\0"
+    _whole = f"{_SPACE} | \n|<\\||{CUT}"
+    _lines = f"{_SPACE}\n"
+    _line = re.compile(f"(?<!{_SPACE})\n")
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.library = Tokenizer.from_file(file)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.held = 0
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self._forget()
 
-    def _learn(self, words: set[str]) -> None:
-        rest = list(words.difference(self.known))
+    def _forget(self) -> None:
+        """No stretch is known: their text, their ids one after another, where each one's begin."""
+        self.known = pa.array([], pa.large_string())
+        self.held = 0
+        self.ids = np.zeros(0, "<u4")
+        self.begins, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: pa.Array) -> None:
+        parts, counts = [self.ids], [self.counts]
+        for at in range(0, len(new), 10_000):
+            found = self._encode(new.slice(at, 10_000).to_pylist())
+            parts.append(np.fromiter(chain.from_iterable(found), "<u4"))
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+        self.ids, self.counts = np.concatenate(parts), np.concatenate(counts)
+        self.begins = np.cumsum(self.counts) - self.counts
+        self.known = pa.concat_arrays([self.known, new])
+        self.held = pc.sum(pc.binary_length(self.known)).as_py() or 0
+
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """Which known stretch each of ``distinct`` is; those not known yet are learnt."""
         if self.held > REMEMBERED:
-            self.known, self.held, rest = {}, 0, list(words)
-        for at in range(0, len(rest), 10_000):
-            some = rest[at : at + 10_000]
-            self.known.update(zip(some, self._encode(some)))
-        self.held += sum(map(len, rest))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words: list[list[str] | None] = []
-        for text in texts:
-            if self._whole.search(text):
-                words.append(None)
-            else:
-                first, *rest = text.split(" ")
-                words.append([first, *[" " + w for w in rest]])
-        self._learn(set().union(*(w for w in words if w)))
-        return [
-            self._encode([text])[0] if found is None else b"".join(map(self.known.__getitem__, found))
-            for text, found in zip(texts, words)
-        ]
+            self._forget()
+        found = pc.index_in(distinct, value_set=self.known)
+        first = len(self.known)
+        if found.null_count:
+            self._learn(distinct.filter(found.is_null()))
+        places = found.fill_null(-1).to_numpy().astype(np.int64)
+        new = places < 0
+        places[new] = first + np.arange(new.sum())
+        return places
+
+    def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        given = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
+        given = given.cast(pa.large_string())
+        whole = pc.match_substring_regex(given, self._whole).to_numpy(zero_copy_only=False)
+        lines = pc.match_substring_regex(given, self._lines).to_numpy(zero_copy_only=False)
+        cut = pc.replace_substring(given.filter(pa.array(~whole & ~lines)), "\n", self.CUT + "\n")
+        others = np.flatnonzero(~whole & lines)
+        some = [self._line.sub(self.CUT + "\n", given[i].as_py()) for i in others]
+        parts = pa.concat_arrays([cut, pa.array(some, pa.large_string())])
+        found = self._strung(pc.replace_substring(parts, " ", self.CUT + " "))
+        ids: dict[int, np.ndarray] = dict(zip([*np.flatnonzero(~whole & ~lines), *others], found))
+        for i in np.flatnonzero(whole):
+            ids[i] = np.array(self._encode([given[i].as_py()])[0], "<u4")
+        return [ids[i] for i in range(len(given))]
+
+    def _strung(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts from those of their stretches, which end at cuts."""
+        if not len(texts):
+            return []
+        split = pc.split_pattern(texts, self.CUT)
+        ends = split.offsets.to_numpy().astype(np.int64)
+        words = split.flatten().dictionary_encode()
+        places = self._places(words.dictionary)[words.indices.to_numpy()]
+        taken = self.counts[places]
+        total = np.concatenate([[0], np.cumsum(taken)])
+        at = np.repeat(self.begins[places] - total[:-1], taken) + np.arange(total[-1])
+        return np.split(self.ids[at], total[ends[1:-1]])
 
 
 @cache
@@ -225,6 +279,13 @@ def byte_encoder(file: str) -> ByteEncoder:
     return ByteEncoder(file)
 
 
+def _spans(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about so many bytes that a text can still be any length."""
+    at = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)) // AT_A_TIME
+    cuts = [0, *np.flatnonzero(np.diff(at)) + 1, len(batch)] if len(batch) else []
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
+
+
 def write(
     docs: DataFrame,
     folder: str,
@@ -247,26 +308,31 @@ def write(
     file = file or tokenizer_file("byte_bpe_50k.json")
     vocabulary = Tokenizer.from_file(file).get_vocab_size()
     bits = bits_for(max(vocabulary, end + 1))
-    last = np.array([end], "<u4").tobytes()
+    last = np.array([end], "<u4")
 
-    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer = byte_encoder(file), None
         part = TaskContext.get().partitionId()
         system, path = _place(folder)
         system.create_dir(path, recursive=True)
         name = f"ids-{part:07d}-{uuid.uuid4().hex}.bin"
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                some = batch.iloc[at : at + 500]
-                ids = [np.frombuffer(x + last, "<u4") for x in encoder.encode(list(some["text"]))]
+            for some in _spans(batch):
                 if writer is None:
                     writer = Writer(system.open_output_stream(f"{path}/{name}"), bits, block)
-                writer.add(list(some["key"]), ids)
+                ids = [np.append(x, last) for x in encoder.encode(some.column("text"))]
+                writer.add(some.column("key").to_pylist(), ids)
         if writer is not None:
             writer.close()
             writer.out.close()
-            row = (part, f"{folder}/{name}", writer.ids, len(writer.keys))
-            yield pd.DataFrame([row], columns=["part", "file", "ids", "documents"])
+            pa.default_memory_pool().release_unused()
+            row = {
+                "part": pa.array([part], pa.int32()),
+                "file": [f"{folder}/{name}"],
+                "ids": [writer.ids],
+                "documents": [len(writer.keys)],
+            }
+            yield pa.RecordBatch.from_pydict(row)
 
     kept = docs.select(
         F.col(key).alias("order"),
@@ -277,7 +343,7 @@ def write(
     )
     order = [F.asc_nulls_first("order"), F.asc("hash"), F.asc("row")]
     dealt = kept.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "text")
-    dealt.mapInPandas(put, MANIFEST).write.parquet(f"{folder}/manifest")
+    dealt.mapInArrow(put, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
 

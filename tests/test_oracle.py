@@ -54,3 +54,17 @@ def test_matches_duckdb(spark, tables, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[0] == "escola_id" and df.count() == 150
+
+
+def test_plain_statements_give_the_same_rows(spark):
+    """What the library is timed against answers the same questions."""
+    from boletim.plans.queries import NAMED_QUERIES
+    from derived_views import warehouse
+    from plain_sql import STATEMENTS, plain
+
+    w = warehouse(spark, SF_DIR)
+    assert set(STATEMENTS) == set(NAMED_QUERIES)
+    for name, question in NAMED_QUERIES.items():
+        one, other = question(w), plain(name)(w)
+        assert one.columns == other.columns, name
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect())), name

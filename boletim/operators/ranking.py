@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Slices per unit of value: at most 10,000 times the range of grades per group.
 SLICES_PER_UNIT = 10_000
+_TOP = -(2**62)
+
+
+def _slice(value: str) -> Column:
+    """Where a value falls, the highest first; NULL ranks above all."""
+    return F.coalesce(-F.floor(F.col(value) * SLICES_PER_UNIT).cast("bigint"), F.lit(_TOP))
 
 
 def with_rank(
@@ -19,54 +25,49 @@ def with_rank(
     ``group_mean`` names a column for the mean of ``value`` in the group. ``value`` is a mean of
     grades, ``decimal(22,19)``; ``keys`` may be empty.
 
-    A group may hold most of the rows, and most rows the same value. So equal values are first
-    counted into one row; those rows are ordered within narrow value slices, spread over tasks;
-    and the rows in higher slices are added from per-slice totals, of which a group has a bounded
-    number.
+    A group may hold most of the rows, and most rows the same value. So a group is reduced to a
+    histogram: its rows per value, by a map-side step, kept in narrow slices of value, each one row
+    with the few values in it. Running totals over a group's slices, of which there is a bounded
+    number, then give the rows above a slice. Each row of ``df`` meets the histogram once, at its own
+    slice, and adds the rows of higher values there.
     """
-    slice_ = F.coalesce(-F.floor(F.col(value) * SLICES_PER_UNIT).cast("bigint"), F.lit(-(2**62)))
-    values = (
-        df.groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_slice", slice_)
+    place = "_slice"
+    values = df.groupBy(*keys, _slice(value).alias(place), value).agg(
+        F.count(F.lit(1)).alias("_rows")
     )
-    higher = Window.partitionBy(*keys, "_slice").orderBy(F.desc_nulls_first(value))
-    higher = higher.rowsBetween(Window.unboundedPreceding, -1)
-    within = values.withColumn("_before", F.coalesce(F.sum("_rows").over(higher), F.lit(0)))
-    slices = _above_slice(within, keys, value, group_mean)
-    extra = [group_mean] if group_mean else []
-    placed = _join_null_safe(within, slices, [*keys, "_slice"])
-    above = (F.lit(1) + F.col("_before") + F.col("_above")).alias(rank)
-    ranks = placed.select(*keys, value, above, *extra)
-    return _join_null_safe(df, ranks, [*keys, value])
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join where NULL matches NULL, as in GROUP BY; ``keys`` come from the left."""
+    slices = _above(_histogram(values, [*keys, place], value), keys, group_mean)
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    joined = left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, same))
-    return joined.select("l.*", *[F.col(f"r.{c}") for c in right.columns if c not in keys])
-
+    same.append(F.col(f"l.{place}") == F.col(f"r.{place}"))
+    met = df.withColumn(place, _slice(value)).alias("l").join(
+        slices.alias("r"), reduce(lambda a, b: a & b, same)
+    )
+    higher = F.filter("_values", lambda x: x[value] > F.col(f"l.{value}"))
+    within = F.aggregate(higher, F.lit(0).cast("bigint"), lambda n, x: n + x["rows"])
+    # Values of the NULL slice compare as NULL, and none of them is higher.
+    above = (F.lit(1) + F.col("_above") + within).alias(rank)
+    return met.select(*[f"l.{c}" for c in df.columns], above, *([group_mean] if group_mean else []))
 
-def _above_slice(
-    within: DataFrame, keys: list[str], value: str, group_mean: str | None
-) -> DataFrame:
-    """Per slice: rows of the group in higher slices, and the group's mean.
 
-    A slice's rows are taken from the running count, so this needs no exchange of its own.
-    """
+def _histogram(values: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Per slice: its values with their rows, how many rows, and the sum and number of values."""
     # 22 + 15 digits and one more: the product keeps all 19 decimals of the value.
     counted = F.when(F.col(value).isNotNull(), F.col("_rows")).cast("decimal(15,0)")
-    slices = within.groupBy(*keys, "_slice").agg(
-        F.max(F.col("_before") + F.col("_rows")).alias("_slice_rows"),
+    return values.groupBy(*keys).agg(
+        F.collect_list(F.struct(value, F.col("_rows").alias("rows"))).alias("_values"),
+        F.sum("_rows").alias("_slice_rows"),
         F.sum(F.col(value) * counted).alias("_total"),
         F.sum(counted).alias("_counted"),
     )
+
+
+def _above(slices: DataFrame, keys: list[str], group_mean: str | None) -> DataFrame:
+    """Per slice: rows of the group in higher slices, and the group's mean."""
     group = Window.partitionBy(*keys)
     higher = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     columns = [
         *keys,
         "_slice",
+        "_values",
         F.coalesce(F.sum("_slice_rows").over(higher), F.lit(0)).alias("_above"),
     ]
     if group_mean:

@@ -15,6 +15,7 @@ All of it is row-wise array expressions, so no paragraph is ever shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
@@ -273,8 +274,14 @@ def _range_of(key: Column, starts: list) -> Column:
     return F.coalesce(F.greatest(group * width + below(inner) - 1, F.lit(0)), F.lit(0))
 
 
-def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def with_next(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    about: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """``key, text, next``: every text with the text of the next key, the last with the first's.
+    With ``about``, what that makes of both texts too, ``v_text`` and ``v_next``, once per text.
 
     Null keys come first, equal keys are ordered by their text. The texts are dealt once, into even
     ranges of keys; the first row of a range goes to the range before it as well.
@@ -297,12 +304,15 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     order = Window.partitionBy("range").orderBy(
         "guest", F.col("key").asc_nulls_first(), "text"
     )
-    return (
-        dealt.repartition("range")
-        .withColumn("next", F.lead("text").over(order))
-        .where("NOT guest")
-        .select(F.col("key").alias(key), F.col("text").alias("text"), "next")
-    )
+    rows = dealt.repartition("range")
+    columns = []
+    if about is not None:
+        rows = rows.withColumn("v_text", about(F.col("text")))
+        columns = [F.col("v_text"), F.lead("v_text").over(order).alias("v_next")]
+    following = F.lead("text").over(order).alias("next")
+    return rows.select("guest", F.col("key").alias(key), "text", following, *columns).where(
+        "NOT guest"
+    ).drop("guest")
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -317,14 +327,16 @@ def edited(text: Column, other: Column) -> Column:
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every text's sketch, that of its edited text, and how near it is to that and to the next.
 
-    A null text counts as empty and has an empty sketch. Equal texts have equal sketches.
+    A null text counts as empty and has an empty sketch. Equal texts have equal sketches. Null keys
+    come first, and rows of one key in the order of their texts; repeated rows follow each other. An
+    empty table gives no rows, and other columns are not read.
     """
-    rows = with_next(docs, key, text).withColumn("edited", edited(F.col("text"), F.col("next")))
-    for name in ("text", "edited", "next"):
-        rows = rows.withColumn(f"d_{name}", digests(F.col(name))).withColumn(
-            f"v_{name}",
-            F.struct(F.col(f"d_{name}").alias("d"), cells(F.col(f"d_{name}")).alias("s")),
-        )
+    sketched = lambda t: _let(
+        digests(t), lambda d: F.struct(d.alias("d"), cells(d).alias("s"))
+    )
+    rows = with_next(docs, key, text, sketched)
+    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next")))
+    rows = rows.withColumn("v_edited", sketched(F.col("edited")))
     rows = rows.select(
         key,
         F.length("text").cast("bigint").alias("n_chars"),

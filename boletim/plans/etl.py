@@ -9,11 +9,12 @@ from datetime import datetime
 from functools import partial, reduce
 from typing import Literal
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from boletim.operators.clean import CLEANERS
-from boletim.schemas import ENTITIES
+from boletim.schemas import ENTITIES, processed_schema
 from boletim.sinks.load import LoadStatus, Target, load_warehouse
 from boletim.sinks.parquet import write_part
 from boletim.sources.layer import Part, part_path, publish
@@ -64,6 +65,14 @@ def run_counts(spark: SparkSession, raw: str, processed: str) -> DataFrame:
     return spark.createDataFrame(rows, COUNTS_SCHEMA)
 
 
+def _counted(observation: Observation) -> int | None:
+    """The rows observed; None where no task had any, and so nothing was observed."""
+    try:
+        return observation.get["rows"]
+    except Py4JJavaError:
+        return None
+
+
 def clean_to_part(
     spark: SparkSession, raw: str, processed: str, name: str, run_ts: datetime
 ) -> Written:
@@ -79,10 +88,10 @@ def clean_to_part(
     source = read_files(spark, files, name)
     cleaned = CLEANERS[name](source.observe(before, rows), run_ts).observe(after, rows)
     part = write_part(cleaned, processed, name, files=files)
-    written = spark.read.parquet(part_path(processed, name, part.id)).count() if after.get["rows"] else 0
-    read = before.get["rows"]
-    if after.get["rows"] != written:
-        log.info("%s: rows of repeated tasks counted, raw rows are read again", name)
+    stored = spark.read.schema(processed_schema(name)).parquet(part_path(processed, name, part.id))
+    read, written = _counted(before), stored.count()
+    if read is None or _counted(after) != written:
+        log.info("%s: the tasks' counts are not the files', raw rows are read again", name)
         read = source.count()
     return Written(part, read, written)
 

@@ -317,3 +317,14 @@ def test_rows_of_repeated_tasks_do_not_count(spark, tmp_path):
     with patch.object(etl, "Observation", Twice):
         done = etl.clean_to_part(spark, raw, processed, "nota", RUN_TS)
     assert (done.read, done.written) == (3, 2)
+
+
+def test_files_without_rows_make_an_empty_layer(spark, tmp_path):
+    paths = write_raw_files(
+        tmp_path, escolas="escola_id,nome,rede,regiao\n", alunos="",
+        notas="aluno_id,disciplina,nota\nA1,M,99\n",
+    )
+    summary = run_pipeline(spark, *paths, RUN_TS)
+    assert sorted(rows(summary.counts)) == [("aluno", 0, 0), ("escola", 0, 0), ("nota", 1, 0)]
+    w = Warehouse.from_processed(spark, paths[1])
+    assert [df.count() for df in w.tables().values()] == [0, 0, 0]

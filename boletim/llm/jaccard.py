@@ -11,8 +11,10 @@ where they link; what is compared of all the rest are pairs whose components sti
 pass the size and position filters, so that no link is lost and a group of near copies of any size
 costs few comparisons per member.
 
-Any order of shingles that all documents agree on gives the same links. Frequent ones are found by
-counting within tasks (``FREQUENT`` at most are told apart), the others are ordered by their hash.
+Any order of shingles that all documents agree on gives the same links, and the less often a shingle
+in a prefix occurs, the fewer documents meet there. Shingles are therefore counted over all documents
+where they could come into a prefix, and the most frequent (``FREQUENT`` at most) are ordered behind
+the others, by their count; the others go by their hash.
 """
 
 from __future__ import annotations
@@ -25,14 +27,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boletim.llm.common import let_workers_import, whole_text
+from boletim.llm.common import WORD, let_workers_import, shuffles_removed, whole_text
 from boletim.llm.shingles import mixed, shingle_sets
 from boletim.storage import shared_folder
 
 #: Frequent shingles that are ordered behind the others, at most; they go to every task.
 FREQUENT = 1 << 18
-#: Copies within a task from which a shingle is counted, and the total from which it is frequent.
-COUNTED, COMMON = 3, 8
+#: Documents from which a shingle is frequent.
+COMMON = 12
+#: Prefixes in whose length shingles are counted: what is frequent leaves room for those behind it.
+COUNTED = 1.5
+#: Words of 64 bits in the bitmap of a set, by which pairs are left out before their sets are read.
+BITMAP = 8
 #: Times that every class is compared with one leader before the rest is compared pair by pair.
 LEADERS = 3
 
@@ -71,32 +77,33 @@ class Order:
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).alias("doc"), whole_text(text).alias("text"))
+    whole = whole_text(text)
+    return docs.select(
+        F.col(key).alias("doc"), whole.alias("text"), F.xxhash64(whole).alias("text_hash")
+    )
 
 
 def _frequent(texts: DataFrame) -> pd.DataFrame:
-    """Shingles that many documents hold, with counts from within tasks."""
+    """Shingles that many documents hold at places where they could come into a prefix, with how many.
+
+    Copies within a batch count once. The rows that come to the driver are ``FREQUENT`` at most.
+    """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, counts = np.zeros(0, "uint64"), np.zeros(0, "int64")
         for batch in batches:
-            held = list(shingle_sets(list(batch["text"])))
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            tokens = np.concatenate([tokens, found[n > 1]])
-            tokens, at = np.unique(tokens, return_inverse=True)
-            counts = np.bincount(
-                at, weights=np.concatenate([counts, n[n > 1]]), minlength=len(tokens)
-            ).astype("int64")
-            seen = counts >= COUNTED
-            yield pd.DataFrame({"token": tokens[seen].view("int64"), "n": counts[seen]})
-            tokens, counts = tokens[~seen], counts[~seen]
-
-    found = texts.select("text").mapInPandas(count, "token bigint, n bigint")
+            held = {found.tobytes(): found for found in shingle_sets(list(batch["text"])) if len(found)}
+            near = [f[: int(COUNTED * (len(f) - _needed(len(f)) + 1))] for f in held.values()]
+            tokens, n = np.unique(np.concatenate([np.zeros(0, "uint64"), *near]), return_counts=True)
+            yield pd.DataFrame({"token": tokens.view("int64"), "n": n.astype("int32")})
+
+    found = texts.select("text").mapInPandas(count, "token bigint, n int")
     total = found.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
-    return total.orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
+    with shuffles_removed(texts.sparkSession):
+        return total.orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()
 
 
 def _profiles(texts: DataFrame, order: Order) -> DataFrame:
-    """``doc, size, class_id, group_id`` of every document; both ids null for an empty set."""
+    """``doc, text_hash, size, class_id, group_id`` of every document; both ids null for an empty
+    set."""
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -105,16 +112,24 @@ def _profiles(texts: DataFrame, order: Order) -> DataFrame:
                 rows.append((len(found), *ids) if len(found) else (0, 0, 0))
             out = pd.DataFrame(rows, columns=["size", "class_id", "group_id"], dtype="int64")
             out.insert(0, "doc", batch["doc"].to_numpy())
+            out.insert(1, "text_hash", batch["text_hash"].to_numpy())
             yield out
 
     kind = dict(texts.dtypes)["doc"]
     found = texts.withColumn("doc", F.col("doc").cast("string")).mapInPandas(
-        profile, "doc string, size bigint, class_id bigint, group_id bigint"
+        profile, "doc string, text_hash bigint, size bigint, class_id bigint, group_id bigint"
     )
     held = {c: F.when(F.col("size") > 0, F.col(c)) for c in ("class_id", "group_id")}
     return found.withColumns({"doc": F.col("doc").cast(kind), **held})
 
 
+def _bitmap(found: np.ndarray) -> np.ndarray:
+    """Which of ``64 * BITMAP`` bits the tokens of a set fall on."""
+    bits = np.zeros(64 * BITMAP, bool)
+    bits[mixed(found) % np.uint64(64 * BITMAP)] = True
+    return np.packbits(bits, bitorder="little").view("int64")
+
+
 def _group_id(prefix: np.ndarray, size: int) -> int:
     return _class_id(np.append(prefix, np.uint64(size)))
 
@@ -179,34 +194,25 @@ class _Store:
     files at the end of each write; else they would stay until the driver collects its garbage.
     """
 
-    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
     def __init__(self, spark: SparkSession, folder: str | None):
         self.spark, self.folder = spark, folder or shared_folder(spark, "jaccard")
         self.put_tables: list[str] = []
 
     def put(self, name: str, table: DataFrame) -> DataFrame:
-        before = self.spark.conf.get(self.CLEANUP, "false")
-        self.spark.conf.set(self.CLEANUP, "true")
-        try:
+        with shuffles_removed(self.spark):
             table.write.parquet(f"{self.folder}/{name}")
-        finally:
-            self.spark.conf.set(self.CLEANUP, before)
         return self.spark.read.schema(table.schema).parquet(f"{self.folder}/{name}")
 
-    def put_bucketed(self, name: str, table: DataFrame, key: str) -> DataFrame:
-        """The same in buckets of ``key``, so that joins on it move the other side only."""
+    def put_bucketed(self, name: str, table: DataFrame, key: str, among: DataFrame) -> DataFrame:
+        """A row of each key that is also ``among`` those, in buckets of it, so that joins on it move
+        the other side only. The rows are dealt once, for the buckets."""
         count = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         title = f"{name}_{uuid.uuid4().hex}"
         self.put_tables.append(title)
-        dealt = table.repartition(count, key)
-        writer = dealt.write.bucketBy(count, key).sortBy(key)
-        before = self.spark.conf.get(self.CLEANUP, "false")
-        self.spark.conf.set(self.CLEANUP, "true")
-        try:
+        dealt = table.repartition(count, key).join(among.select(key), key, "left_semi")
+        writer = dealt.dropDuplicates([key]).write.bucketBy(count, key).sortBy(key)
+        with shuffles_removed(self.spark):
             writer.option("path", f"{self.folder}/{name}").saveAsTable(title)
-        finally:
-            self.spark.conf.set(self.CLEANUP, before)
         return self.spark.table(title)
 
     def forget(self) -> None:
@@ -216,18 +222,19 @@ class _Store:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``class_id, tokens`` of the classes of ``wanted`` (``doc, class_id``)."""
+    """``class_id, tokens, bitmap`` of the documents of ``wanted`` (``doc, class_id``); a key that
+    occurs with several texts brings them all."""
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = list(shingle_sets(list(batch["text"])))
-            yield pd.DataFrame(
+            out = pd.DataFrame(
                 {"class_id": map(_class_id, found), "tokens": [f.tobytes() for f in found]}
             ).astype({"class_id": "int64"})
+            yield out.assign(bitmap=[_bitmap(f) for f in found])
 
     held = texts.join(wanted.select("doc"), texts["doc"].eqNullSafe(wanted["doc"]), "left_semi")
-    sets = held.select("text").mapInPandas(hashed, "class_id bigint, tokens binary")
-    return sets.join(wanted.select("class_id"), "class_id", "left_semi").dropDuplicates(
-        ["class_id"]
+    return held.select("text").mapInPandas(
+        hashed, "class_id bigint, tokens binary, bitmap array<bigint>"
     )
 
 
@@ -331,18 +338,30 @@ def _leader_pairs(items: DataFrame, step: int) -> DataFrame:
     return best.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
 
-def _remaining_pairs(items: DataFrame) -> DataFrame:
+def _remaining_pairs(items: DataFrame, sets: DataFrame) -> DataFrame:
     """Every pair of classes of different components that may link.
 
-    Of two sets that share ``n`` prefix tokens, the last at places ``i`` and ``j``, no more than
-    ``n + min(size - place - 1)`` can be shared in all.
+    All that two sets share stands at or after the first token they share, so two that link meet at
+    a token with ``1 + min(size - place - 1)`` tokens enough for both sizes; a meeting without is
+    none, and neither is any after it. Frequent tokens stand last in a prefix, where that leaves few
+    meetings. Of those left, ``n`` of them and the last at places ``i`` and ``j``, no more than
+    ``n + min(size - place - 1)`` tokens can be shared in all.
+
+    Beside each entry stands a bitmap of its set. Bits in which two differ stand for as many tokens
+    of one set alone at least, and two sets that link have a seventh of their tokens so at most.
     """
+    words = [F.col("bitmap")[k].alias(f"bits{k}") for k in range(BITMAP)]
+    items = items.join(sets.select("class_id", "bitmap"), "class_id").select(*items.columns, *words)
     one = items.select("token", *(F.col(c).alias(f"a_{c}") for c in items.columns[1:]))
     other = items.select("token", *(F.col(c).alias(f"b_{c}") for c in items.columns[1:]))
+    rest = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
+    apart = sum(F.bit_count(F.col(f"a_bits{k}").bitwiseXOR(F.col(f"b_bits{k}"))) for k in range(BITMAP))
     met = one.join(other, "token").where(
         (F.col("a_class_id") < F.col("b_class_id"))
         & (F.col("a_component") != F.col("b_component"))
         & _fits("a_size", "b_size")
+        & ((F.col("a_place") < 0) | (7 * rest >= 3 * (F.col("a_size") + F.col("b_size"))))
+        & (7 * apart <= F.col("a_size") + F.col("b_size"))
     )
     met = met.groupBy("a_class_id", "b_class_id", "a_size", "b_size").agg(
         F.count_if(F.col("a_place") >= 0).alias("n"),
@@ -372,14 +391,39 @@ def _items(shared: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def _settled(store: _Store, items: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """``node, component`` of the classes that links lead to, None without any: first by leaders,
+    then from all pairs that may still link two components."""
+    labels, links, tried, changed = None, None, None, True
+    so_far = _labelled(items, labels)
+    for step in range(LEADERS + 1):
+        if step and changed:
+            # Tokens within one component are settled, and so are fewer with every step.
+            so_far = store.put(f"open-{step}", _open(_labelled(items, labels)))
+            items = so_far.drop("component")
+        pairs = _leader_pairs(so_far, step) if step < LEADERS else _remaining_pairs(so_far, sets)
+        if tried is not None:
+            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = store.put(f"pairs-{step}", pairs)
+        found = store.put(f"verified-{step}", _linked(pairs, sets))
+        tried = found if tried is None else tried.union(found)
+        links = tried.where("linked").select("a", "b")
+        changed = found.where("linked").limit(1).count() > 0
+        if changed:
+            labels = components(links, store, f"components-{step}")
+    return labels
+
+
 def join(
     docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str | None = None
 ) -> DataFrame:
-    """``key, n_shingles, component_id, class_id`` of every document.
+    """``key, n_shingles, component_id, class_id, text_hash, place`` of every document.
 
     ``component_id`` is the smallest key that links lead to, its own included; ``class_id`` is the
     same for equal sets. A null or empty text, or one without words, has no shingle and no link, and
     stands for itself. Repeated rows are copies of each other; a null key is never the smallest.
+    ``text_hash`` tells the texts of one key apart, and ``place`` the components. Other columns are not read; an empty table gives
+    no rows.
     Intermediate tables go to ``folder`` in the shared space.
     """
     spark = docs.sparkSession
@@ -394,26 +438,12 @@ def join(
     shared = _shared(_entries(texts, order))
     items = store.put("items", _items(shared, classes))
     wanted = classes.join(items.select("class_id").distinct(), "class_id", "left_semi")
-    sets = store.put_bucketed("sets", _sets(texts, wanted), "class_id")
-    labels, links, tried, changed = None, None, None, True
-    so_far = _labelled(items, labels)
-    for step in range(LEADERS + 1):
-        if step and changed:
-            # Tokens within one component are settled, and so are fewer with every step.
-            so_far = store.put(f"open-{step}", _open(_labelled(items, labels)))
-            items = so_far.drop("component")
-        pairs = _leader_pairs(so_far, step) if step < LEADERS else _remaining_pairs(so_far)
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = store.put(f"pairs-{step}", pairs)
-        found = store.put(f"verified-{step}", _linked(pairs, sets))
-        tried = found if tried is None else tried.union(found)
-        links = tried.where("linked").select("a", "b")
-        changed = found.where("linked").limit(1).count() > 0
-        if changed:
-            labels = components(links, store, f"components-{step}")
-    store.forget()
-    known = profiles.select("doc", "size", "class_id")
+    sets = store.put_bucketed("sets", _sets(texts, wanted), "class_id", wanted)
+    try:
+        labels = _settled(store, items, sets)
+    finally:
+        store.forget()
+    known = profiles.select("doc", "size", "class_id", "text_hash")
     placed = _labelled(known, labels).withColumnRenamed("component", "place")
     lowest = placed.where("place IS NOT NULL").groupBy("place").agg(F.min("doc").alias("lowest"))
     return placed.join(lowest, "place", "left").select(
@@ -421,4 +451,24 @@ def join(
         F.col("size").alias("n_shingles"),
         F.coalesce("lowest", "doc").alias("component_id"),
         "class_id",
+        "text_hash",
+        "place",
+    )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component, as it is: that of the smallest key, null last, and of
+    one key's rows that of the smallest hash of its text. Of rows equal in both, one. Rows without
+    words are linked with nothing, and all stay.
+    """
+    groups = join(docs, key, text).where("n_shingles > 0")
+    order = F.struct(F.col(key).isNull(), F.col(key).alias("key"), F.col("text_hash").alias("hash"))
+    kept = groups.groupBy("place").agg(F.min(order).alias("first")).select(
+        F.col("first.key").alias("kept_key"), F.col("first.hash").alias("kept_hash")
     )
+    hashed = F.xxhash64(whole_text(text))
+    rows = docs.withColumn("kept_text_hash", hashed)
+    worded = F.regexp_like(whole_text(text), F.lit(WORD))
+    same = F.col(key).eqNullSafe(F.col("kept_key")) & (F.col("kept_text_hash") == F.col("kept_hash"))
+    held = rows.where(worded).join(kept, same, "left_semi").dropDuplicates([key, "kept_text_hash"])
+    return held.unionByName(rows.where(~worded)).drop("kept_text_hash")

@@ -114,15 +114,18 @@ def test_top_k(spark):
     vectors = [list(map(float, v)) for v in rng.normal(0, 0.2, (300, 8))]
     rows = [(i, v) for i, v in enumerate(vectors)]
     rows += [(1000 + i, vectors[7]) for i in range(8)] + [rows[3]]
+    rows += [(50, vectors[9]), rows[100], rows[100], (100, vectors[0])]
     bad = [(2000, None), (2050, [None] * 8), (2100, [float("nan")] * 8), (None, vectors[0])]
-    df = spark.createDataFrame(rows + bad, "vec_id bigint, embedding array<float>")
+    df = spark.createDataFrame(
+        [(*r, 1) for r in rows + bad], "vec_id bigint, embedding array<float>, score int"
+    )
     got = topk.search(df, "vec_id % 50 = 0").collect()
     ids = np.array([r[0] for r in rows])
     whole = np.floor(256 * np.array([r[1] for r in rows], "float32").astype("float64")).astype(int)
     want = []
     for q in range(len(rows)):
         if ids[q] % 50 == 0:
-            scores, others = whole @ whole[q], ids != ids[q]
+            scores, others = whole @ whole[q], np.arange(len(rows)) != q
             best = np.lexsort((ids[others], -scores[others]))[:5]
             want += [
                 (int(ids[q]), n + 1, int(ids[others][i]), int(scores[others][i]))
@@ -173,7 +176,7 @@ def test_toxicity_without_labels(spark):
 
 def test_every_operator_is_registered_once():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(contract.LLM_SQL) <= set(names)
 
 
@@ -182,7 +185,8 @@ def test_matches_duckdb(spark, name):
     import duckdb
 
     with duckdb.connect() as con:
-        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+        for t in ("documents", "embeddings"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
         found = con.execute(contract.LLM_SQL[name])
         want = [d[0] for d in found.description], sorted(found.fetchall())
     df = contract.queries()[name](spark, SF_DIR)
@@ -205,7 +209,16 @@ def test_near_copies_keep_one(spark):
     import corpus_pipeline
 
     text = " ".join(f"w{i}" for i in range(60))
+    far = " ".join(f"v{i}" for i in range(60))
     rows = [(1, text, 5), (1, text, 5), (2, text + " x", 5), (3, "other", 5), (None, None, 5)]
+    rows += [(None, text, 5), (None, far, 5), (None, far + " x", 5), (3, "another one", 5), (4, "", 5)]
+    rows += [(5, "lone words here", 5), (5, text + " x", 5)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, size int")
     kept = corpus_pipeline.without_near_copies(spark, df, SF_DIR)
-    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == ["1", "3", "None"]
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert [t for d, t in got if d is None and t and t.startswith("v")] in ([far], [far + " x"])
+    rest = [x for x in got if not (x[0] is None and x[1])]
+    assert sorted(rest, key=str) == sorted([
+        (1, text), (3, "other"), (3, "another one"), (4, ""), (5, "lone words here"), (None, None),
+    ], key=str)

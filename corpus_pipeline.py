@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from boletim.llm import jaccard, mixing, packing, toxicity
 from boletim.llm.common import table
@@ -26,16 +25,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id.
 
-    Of rows that repeat an id and text one stays. Rows without an id all stay.
+    It is decided row by row: null and repeated ids make no difference, and of rows that repeat an
+    id and text one stays. Documents without words are copies of none, and stay.
     """
-    groups = jaccard.join(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept_id")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    held = docs.join(kept, same, "left_semi")
-    ids = held.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    return ids.unionByName(held.where("doc_id IS NULL"))
+    return jaccard.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ LEAST_BACKOFF = 0.05
 FOLDS = (0, 1, 3)
 BEGIN = "\x02"
 #: Characters of the texts that are scored at a time.
-CHARACTERS = 4_000_000
+CHARACTERS = 1_000_000
 _WORD = r"[\p{L}\p{N}_]+"
 _GAP = r"[^\p{L}\p{N}_]+"
 
@@ -72,6 +72,7 @@ class Model:
         for begin, end in zip(cuts, cuts[1:]):
             if begin < end:
                 found.append(self._means(pa.array(texts[begin:end], pa.large_string())))
+        pa.default_memory_pool().release_unused()
         return np.concatenate([np.zeros(0), *found])
 
     def _means(self, texts: pa.Array) -> np.ndarray:

@@ -40,6 +40,20 @@ def let_workers_import(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([folder, *known])
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Have Spark hand Python at most ``rows`` rows at a time, both ways, while jobs run here: a
+    worker then holds, and keeps after its peak, only as much. Jobs of the session that run
+    meanwhile do the same, which is harmless."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Have Spark remove what a job has shuffled once the job is done, not when the driver happens

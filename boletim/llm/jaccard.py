@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boletim.llm.common import WORD, let_workers_import, shuffles_removed, whole_text
+from boletim.llm.common import WORD, batches_of, let_workers_import, shuffles_removed, whole_text
 from boletim.llm.shingles import mixed, shingle_sets
 from boletim.storage import shared_folder
 
@@ -41,6 +41,8 @@ COUNTED = 1.5
 BITMAP = 8
 #: Times that every class is compared with one leader before the rest is compared pair by pair.
 LEADERS = 3
+#: Rows that Python is given at a time: a batch of whole sets, or of pairs of them, is held at once.
+ROWS = 1000
 
 
 def _needed(size: int) -> int:
@@ -430,19 +432,21 @@ def join(
     let_workers_import(spark)
     store = _Store(spark, folder)
     texts = _texts(docs, key, text)
-    order = Order(_frequent(texts))
-    profiles = store.put("profiles", _profiles(texts, order))
-    classes = store.put("classes", profiles.where("class_id IS NOT NULL").groupBy(
-        "class_id", "group_id", "size"
-    ).agg(F.min("doc").alias("doc")))
-    shared = _shared(_entries(texts, order))
-    items = store.put("items", _items(shared, classes))
-    wanted = classes.join(items.select("class_id").distinct(), "class_id", "left_semi")
-    sets = store.put_bucketed("sets", _sets(texts, wanted), "class_id", wanted)
-    try:
-        labels = _settled(store, items, sets)
-    finally:
-        store.forget()
+    # Every step that runs Python runs here; what is returned reads the written tables only.
+    with batches_of(spark, ROWS):
+        order = Order(_frequent(texts))
+        profiles = store.put("profiles", _profiles(texts, order))
+        classes = store.put("classes", profiles.where("class_id IS NOT NULL").groupBy(
+            "class_id", "group_id", "size"
+        ).agg(F.min("doc").alias("doc")))
+        shared = _shared(_entries(texts, order))
+        items = store.put("items", _items(shared, classes))
+        wanted = classes.join(items.select("class_id").distinct(), "class_id", "left_semi")
+        sets = store.put_bucketed("sets", _sets(texts, wanted), "class_id", wanted)
+        try:
+            labels = _settled(store, items, sets)
+        finally:
+            store.forget()
     known = profiles.select("doc", "size", "class_id", "text_hash")
     placed = _labelled(known, labels).withColumnRenamed("component", "place")
     lowest = placed.where("place IS NOT NULL").groupBy("place").agg(F.min("doc").alias("lowest"))

@@ -70,6 +70,24 @@ def test_jaccard_join_of_nothing(spark, tmp_path):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == {(1, 0, 1), (2, 0, 2)}
 
 
+def test_jaccard_join_hands_python_small_batches(spark, tmp_path, monkeypatch):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(setting), []
+    put = jaccard._Store.put
+
+    def spied(self, name, table):
+        seen.append(int(spark.conf.get(setting)))
+        return put(self, name, table)
+
+    monkeypatch.setattr(jaccard._Store, "put", spied)
+    rows = [(1, "a b c d e f"), (2, "A b c d e f"), (3, "x y z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = jaccard.join(df, folder=str(tmp_path / "join")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 3)}
+    assert seen and max(seen) <= jaccard.ROWS
+    assert spark.conf.get(setting) == before
+
+
 def test_components_of_long_chains(spark, tmp_path):
     rng = random.Random(11)
     ids = [rng.randrange(-(2**63), 2**63) for _ in range(4000)]
